@@ -1,0 +1 @@
+"""Empty on purpose: the workload is a daily batch, with no unbounded input to process."""
