@@ -28,7 +28,8 @@ def in_order(
 ) -> DataFrame:
     """Position, next value and running weight of each distinct non-negative value of a group.
 
-    ``df`` holds each (group, value) once. Adds ``_position`` (from 1), ``_next`` and ``_running``.
+    ``df`` holds each (group, value) once. Adds ``_position`` (from 1), ``_count`` (values in the
+    group), ``_next`` and ``_running``.
     Values are ordered within buckets; the at most 65,536 bucket totals of a group are then
     ordered among themselves.
     """
@@ -55,25 +56,18 @@ def in_order(
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
             F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_w_before"),
             F.lead("_first").over(across).alias("_next_first"),
+            F.sum("_n").over(Window.partitionBy(*by)).cast("int").alias("_count"),
         )
     )
     return local.join(buckets, [*by, "_bucket"]).select(
         *df.columns,
         (F.col("_n_before") + F.col("_local_position")).cast("int").alias("_position"),
+        "_count",
         F.coalesce("_local_next", "_next_first").alias("_next"),
         (F.col("_w_before") + F.col("_local_running")).alias("_running"),
     )
 
 
-def next_in_order(
-    df: DataFrame, by: Sequence[str], value: str, *, following: str, position: str
-) -> DataFrame:
-    """Next greater value and position of each distinct value of a group."""
-    return in_order(df, by, value).select(
-        *df.columns, F.col("_next").alias(following), F.col("_position").alias(position)
-    )
-
-
 def quantiles(
     df: DataFrame, by: Sequence[str], value: Column, probabilities: Sequence[float]
 ) -> DataFrame:

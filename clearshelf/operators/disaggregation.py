@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearshelf.functions.ordered import in_order, next_in_order
+from clearshelf.functions.ordered import in_order
 from clearshelf.params import INVENTORY_WEIGHT, SALES_WEIGHT
 
 GROUP = ("parent_item_nbr", "club_nbr")
@@ -40,48 +40,71 @@ def disagg_raw_weights(
     )
 
 
+def _ordered_caps(weights: DataFrame) -> DataFrame:
+    """Distinct caps of a group with their weight, position, next cap and running weight."""
+    per_cap = weights.groupBy(*GROUP, "inv_cap").agg(
+        F.sum(F.col("weights").cast("decimal(38,18)")).alias("cap_weight")
+    )
+    return in_order(per_cap, GROUP, "inv_cap", weight=F.col("cap_weight"))
+
+
 def disagg_scenarios(weights: DataFrame) -> DataFrame:
     """Consecutive pairs of distinct caps, numbered upwards; the largest cap starts no scenario."""
-    caps = weights.select(*GROUP, "inv_cap").distinct()
     return (
-        next_in_order(caps, GROUP, "inv_cap", following="inv_max", position="scenario")
-        .where(F.col("inv_max").isNotNull())
-        .withColumnRenamed("inv_cap", "inv_min")
+        _ordered_caps(weights)
+        .where(F.col("_next").isNotNull())
+        .select(
+            *GROUP,
+            F.col("inv_cap").alias("inv_min"),
+            F.col("_next").alias("inv_max"),
+            F.col("_position").alias("scenario"),
+        )
     )
 
 
 def disagg_flags(weights: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Each child in each scenario of its group; flag 0 when its cap reaches the scenario."""
-    return weights.join(scenarios, list(GROUP)).withColumn(
-        "scenario_flag", F.when(F.col("inv_cap") >= F.col("inv_max"), 0).otherwise(1)
+    """Each child in each scenario of its group; flag 0 when its cap reaches the scenario.
+
+    The table has children x scenarios rows by definition. A child reaches exactly the scenarios
+    before its cap's position, so its rows are counted out from that position; the only join is
+    on the single scenario, which spreads a large group over all tasks.
+    """
+    place = _ordered_caps(weights).select(*GROUP, "inv_cap", "_position", "_count")
+    every = F.explode(F.sequence(F.lit(1), F.col("_count") - 1))
+    return (
+        weights.join(place, [*GROUP, "inv_cap"])
+        .where(F.col("_count") > 1)
+        .withColumn("scenario", every)
+        .withColumn("scenario_flag", F.when(F.col("scenario") < F.col("_position"), 0).otherwise(1))
+        .drop("_position", "_count")
+        .join(scenarios, [*GROUP, "scenario"])
     )
 
 
-def _scenario_totals(weights: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Weight reached in each scenario: everything capped at or above its upper end.
+def _scenario_totals(weights: DataFrame) -> DataFrame:
+    """Weight reached in each scenario: all weight but that of the caps up to its lower end.
 
-    Taken as "all minus what is capped lower" over the distinct caps, so its cost follows the
-    number of children and not the number of child-scenario rows.
+    Taken over the distinct caps, so its cost follows the number of children and not the number
+    of child-scenario rows.
     """
-    per_cap = weights.groupBy(*GROUP, "inv_cap").agg(
-        F.sum(F.col("weights").cast("decimal(38,18)")).alias("cap_weight")
-    )
     whole = weights.groupBy(*GROUP).agg(
         F.sum(F.col("weights").cast("decimal(38,18)")).alias("all_weight")
     )
-    running = in_order(per_cap, GROUP, "inv_cap", weight=F.col("cap_weight"))
-    lower = F.col("_running") - F.col("cap_weight")
-    reached = (
-        running.join(whole, list(GROUP))
-        .withColumn("total_scenario_weights", (F.col("all_weight") - lower).cast("double"))
-        .select(*GROUP, F.col("inv_cap").alias("inv_max"), "total_scenario_weights")
+    reached = (F.col("all_weight") - F.col("_running")).cast("double")
+    return (
+        _ordered_caps(weights)
+        .join(whole, list(GROUP))
+        .select(
+            *GROUP,
+            F.col("_position").alias("scenario"),
+            reached.alias("total_scenario_weights"),
+        )
     )
-    return scenarios.join(reached, [*GROUP, "inv_max"])
 
 
 def disagg_final(weights: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Weights of the reached children, normalised within the scenario."""
-    totals = _scenario_totals(weights, scenarios)
+    totals = scenarios.join(_scenario_totals(weights), [*GROUP, "scenario"])
     reached = F.col("scenario_flag") == 0
     return disagg_flags(weights, totals).withColumn(
         "final_weights",

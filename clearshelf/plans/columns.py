@@ -120,7 +120,7 @@ CART_CELLS = [
     for k in BACK
 ]
 DISAGG = [
-    "parent_item_nbr:i", "child_item_nbr:l", "club_nbr:i", "num_child:l", "inventory_qty:l",
+    "parent_item_nbr:i", "child_item_nbr:i", "club_nbr:i", "num_child:l", "inventory_qty:l",
     "inventory:l", "inv_weights", "sales_weights", "weights", "inv_cap",
 ]
 DQ = [
@@ -145,13 +145,13 @@ COLUMNS: dict[str, list[str]] = {
         "item_nbr:i", "club_nbr:i", "current_retail_price", "oos_date:t",
         "markdown_start_date_dt:t", "date:t", "plan_id:i",
     ],
-    "child_inventory": ["item_nbr:l", "club_nbr:i", "snapshot_date:t", "inventory_qty:i"],
-    "child_sales_1w": ["item_nbr:l", "club_nbr:i", "unit_qty_1w"],
+    "child_inventory": ["item_nbr:i", "club_nbr:i", "snapshot_date:t", "inventory_qty:i"],
+    "child_sales_1w": ["item_nbr:i", "club_nbr:i", "unit_qty_1w"],
     "parent_child_map": [
-        "parent_item_nbr:i", "child_item_nbr:l", "club_nbr:i", "date:t", "unit_sold_cnt",
+        "parent_item_nbr:i", "child_item_nbr:i", "club_nbr:i", "date:t", "unit_sold_cnt",
     ],
     "disagg_input": [
-        "parent_item_nbr:i", "child_item_nbr:l", "club_nbr:i", "inventory_qty:l", "unit_qty_1w",
+        "parent_item_nbr:i", "child_item_nbr:i", "club_nbr:i", "inventory_qty:l", "unit_qty_1w",
     ],
     "read_table": [*ROW, "unit_sold_cnt"],
     "write_table": [*ROW, "unit_sold_cnt"],

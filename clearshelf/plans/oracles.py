@@ -72,7 +72,9 @@ CTE["item_master"] = f"""
 SELECT p_partkey AS scan_id, {BRAND} AS mds_fam_id, 1000 + {BRAND} AS item_nbr,
        {BRAND} % 5 AS dept_nbr, {BRAND} % 10 AS subclass_nbr,
        CASE WHEN p_type = 'ECONOMY' THEN 'N' ELSE 'Y' END AS current_ind, 'US' AS country_code,
-       CASE WHEN p_size > 45 THEN 17 ELSE 18 END AS base_div_nbr
+       CASE WHEN p_size > 45 THEN 17 ELSE 18 END AS base_div_nbr,
+       (1000 + {BRAND}) * 1000 + p_size + 100 * list_position(
+         ['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'], p_type) AS child_nbr
 FROM part"""
 CTE["store_info"] = """
 SELECT s_suppkey AS store_nbr, n_regionkey AS club_nbr,
@@ -89,7 +91,7 @@ SELECT l_orderkey AS visit_nbr, l_suppkey AS store_nbr, l_partkey AS scan_id,
        l_linenumber AS line_nbr
 FROM lineitem"""
 CTE["scan_by_club"] = """
-SELECT s.*, i.mds_fam_id, i.item_nbr, si.club_nbr
+SELECT s.*, i.mds_fam_id, i.item_nbr, i.child_nbr, si.club_nbr
 FROM scan s JOIN item_master i USING (scan_id) JOIN store_info si USING (store_nbr)"""
 _INVENTORY = """
 SELECT {item} AS mds_fam_id, club_nbr, visit_date AS snapshot_date,
@@ -98,7 +100,7 @@ SELECT {item} AS mds_fam_id, club_nbr, visit_date AS snapshot_date,
        CASE WHEN min(line_nbr) >= 7 THEN 'D' ELSE 'A' END AS status
 FROM scan_by_club GROUP BY ALL"""
 CTE["inventory_daily"] = _INVENTORY.format(item="mds_fam_id")
-CTE["child_inventory_daily"] = _INVENTORY.format(item="scan_id")
+CTE["child_inventory_daily"] = _INVENTORY.format(item="child_nbr")
 CTE["plan_details"] = """
 SELECT item_nbr, club_nbr, visit_date AS created_date, visit_date AS markdown_start_date,
        visit_date + (28 + (mds_fam_id % 5) * 7) AS oos_date,
@@ -491,20 +493,21 @@ WHERE dept_nbr IN (SELECT unnest(string_split(replace('0, 1, 2, 3', ' ', ''), ',
 # --- disaggregation -------------------------------------------------------------------------
 
 CTE["parent_child_map"] = """
-SELECT DISTINCT s.item_nbr AS parent_item_nbr, i.scan_id AS child_item_nbr, s.club_nbr, s.date,
+SELECT DISTINCT s.item_nbr AS parent_item_nbr, i.child_nbr AS child_item_nbr, s.club_nbr, s.date,
        s.unit_sold_cnt
 FROM second_level_features s JOIN item_master i ON s.item_nbr = i.item_nbr
 WHERE s.date = (SELECT max(date) - 1 FROM second_level_features)"""
 CTE["child_inventory"] = f"""
 SELECT item_nbr, club_nbr, snapshot_date, max(inventory_qty) AS inventory_qty
 FROM (
-  SELECT m.scan_id AS item_nbr, club_nbr, snapshot_date, {_EFFECTIVE} AS inventory_qty
-  FROM child_inventory_daily c JOIN item_master m ON c.mds_fam_id = m.scan_id
+  SELECT m.child_nbr AS item_nbr, club_nbr, snapshot_date, {_EFFECTIVE} AS inventory_qty
+  FROM child_inventory_daily c
+  JOIN (SELECT DISTINCT child_nbr, dept_nbr FROM item_master) m ON c.mds_fam_id = m.child_nbr
   WHERE status NOT IN ('R', 'L', 'D') AND dept_nbr IN {_in(PARAMS.departments)}
     AND snapshot_date = {TODAY})
 WHERE inventory_qty >= 0 GROUP BY ALL"""
 CTE["child_sales_1w"] = f"""
-SELECT s.scan_id AS item_nbr, club_nbr, sum(unit_qty) AS unit_qty_1w
+SELECT child_nbr AS item_nbr, club_nbr, sum(unit_qty) AS unit_qty_1w
 FROM scan_sales s JOIN item_master m USING (scan_id)
 WHERE dept_nbr IN {_in(PARAMS.departments)} AND unit_qty > 0
   AND visit_date BETWEEN {_d(D.child_sales_week[0])} AND {_d(D.child_sales_week[1])}
@@ -577,7 +580,7 @@ def _types(source: str, rows) -> str:
 
 _SCAN_TYPES = [("scan_id", "bigint", "TRUE"), ("visit_nbr", "bigint", "FALSE")]
 _WEIGHT_TYPES = [
-    ("parent_item_nbr", "int", "TRUE"), ("child_item_nbr", "bigint", "TRUE"),
+    ("parent_item_nbr", "int", "TRUE"), ("child_item_nbr", "int", "TRUE"),
     ("club_nbr", "int", "TRUE"),
 ]
 CTE["dq_not_null"] = _not_null("scan", ["scan_id", "unit_qty", "visit_nbr", "visit_date"])

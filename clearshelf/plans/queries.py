@@ -34,7 +34,7 @@ QUERIES: dict[str, Query] = {}
 GRID_WITH_DEEP = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 CSV_LIST = "0, 1, 2, 3"
 INGRESS_TYPES = {"scan_id": "bigint", "visit_nbr": "int"}
-EGRESS_TYPES = {"parent_item_nbr": "int", "child_item_nbr": "bigint", "club_nbr": "int"}
+EGRESS_TYPES = {"parent_item_nbr": "int", "child_item_nbr": "int", "club_nbr": "int"}
 CHECKED_AT = datetime(2001, 11, 5, 7, 0, 0)
 
 RESULT_SCHEMA = T.StructType(

@@ -44,6 +44,11 @@ class Workspace:
         self.params = PARAMS
         self.dates = PARAMS.dates
 
+    @cached_property
+    def inventory_daily(self) -> DataFrame:
+        """The snapshot table; written out because the stock join and the sessions both read it."""
+        return stage(self.tables.inventory_daily(), "inventory_daily")
+
     # --- scans, lazy ---------------------------------------------------------------------
 
     @_once
@@ -75,7 +80,7 @@ class Workspace:
     @_once
     def inventory_enriched(self) -> DataFrame:
         return sc.inventory_enriched(
-            self.tables.inventory_daily(),
+            self.inventory_daily,
             self.item_dim(),
             start=self.dates.history_start,
             end=self.params.run_date,
@@ -158,10 +163,9 @@ class Workspace:
     @_once
     def child_sales(self) -> DataFrame:
         start, end = self.dates.child_sales_week
-        children = sc.item_dim(self.tables.child_master(), depts=self.params.departments)
-        sales = self.scan_sales().join(
-            children.select(F.col("mds_fam_id").alias("scan_id"), "item_nbr"), "scan_id"
-        )
+        listed = F.col("dept_nbr").isin(*self.params.departments)
+        children = self.tables.child_master().where(listed)
+        sales = self.scan_sales().join(children.select("scan_id", "item_nbr"), "scan_id")
         return sc.child_sales_1w(sales, start=start, end=end)
 
     @_once

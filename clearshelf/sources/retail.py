@@ -12,6 +12,8 @@ from clearshelf.params import Params
 RUN_DATE = date(2001, 11, 5)
 CART_AS_OF = date(2024, 1, 29)
 
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
 # The derived tables keep the whole ship-date range as history, and five departments, one of
 # which is outside the list.
 PARAMS = Params(
@@ -49,6 +51,7 @@ class RetailTables:
     def item_master(self) -> DataFrame:
         """One row per scanned id, with the attributes the current-item filter needs."""
         brand = F.expr("cast(replace(p_brand, 'Brand#', '') as int)")
+        kind = F.array_position(F.array(*map(F.lit, PART_TYPES)), F.col("p_type"))
         return self.raw("part").select(
             F.col("p_partkey").alias("scan_id"),
             brand.alias("mds_fam_id"),
@@ -58,21 +61,29 @@ class RetailTables:
             F.when(F.col("p_type") == "ECONOMY", "N").otherwise("Y").alias("current_ind"),
             F.lit("US").alias("country_code"),
             F.when(F.col("p_size") > 45, 17).otherwise(18).alias("base_div_nbr"),
+            (kind.cast("int") * 100 + F.col("p_size")).alias("variant_nbr"),
         )
 
     def child_master(self) -> DataFrame:
-        """The item master one level down: every scanned id is its own item."""
+        """The item master one level down: a child is a type and size of its parent item.
+
+        A parent has at most 300 children whatever the number of scanned ids.
+        """
+        child = F.col("item_nbr") * 1000 + F.col("variant_nbr")
         return self.item_master().select(
-            F.col("scan_id"),
-            F.col("scan_id").alias("mds_fam_id"),
-            F.col("scan_id").alias("item_nbr"),
+            "scan_id",
+            child.alias("mds_fam_id"),
+            child.alias("item_nbr"),
+            F.col("item_nbr").alias("parent_item_nbr"),
             "dept_nbr",
             "subclass_nbr",
         )
 
     def item_xref(self) -> DataFrame:
-        return self.item_master().select(
-            F.col("item_nbr").alias("parent_item_nbr"), F.col("scan_id").alias("child_item_nbr")
+        return (
+            self.child_master()
+            .select("parent_item_nbr", F.col("item_nbr").alias("child_item_nbr"))
+            .distinct()
         )
 
     def store_info(self) -> DataFrame:
