@@ -19,6 +19,3 @@ def day_range(first: int, last: int, keys: Sequence[str] = PANEL_KEYS) -> Window
     """Rows of the same entity dated ``date + first`` to ``date + last``, both included."""
     return Window.partitionBy(*keys).orderBy(day_number()).rangeBetween(first, last)
 
-
-def week_back(k: int, keys: Sequence[str] = PANEL_KEYS) -> WindowSpec:
-    return day_range(-7 * k, -7 * k + 6, keys)

@@ -21,7 +21,7 @@ from clearshelf.functions.metrics import (
     under_columns,
     wmape,
 )
-from clearshelf.functions.numeric import half_up
+from clearshelf.functions.numeric import half_up, half_up_sql
 from clearshelf.functions.ordered import in_order, quantiles
 from clearshelf.params import HORIZONS
 
@@ -38,11 +38,11 @@ def _report(pred: DataFrame, by: Sequence[str], columns: Mapping[str, Column]) -
 
 def _rounded(report: DataFrame, by: Sequence[str], digits: int) -> DataFrame:
     """Round the double columns of a report."""
-    return report.select(
+    return report.selectExpr(
         *[
-            half_up(F.col(f.name), digits).alias(f.name)
+            f"{half_up_sql(f.name, digits)} AS {f.name}"
             if f.name not in by and isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
+            else f.name
             for f in report.schema
         ]
     )

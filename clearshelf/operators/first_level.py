@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clearshelf.functions.frames import PANEL_KEYS, day_range, week_back
-from clearshelf.functions.numeric import from_hundredths, half_up, hundredths
+from clearshelf.functions.frames import PANEL_KEYS, day_number
+from clearshelf.functions.numeric import half_up, hundredths
 from clearshelf.params import BACK_WEEKS, HORIZONS
 
 ENTITY = ("mds_fam_id", "club_nbr", "department_nbr", "subclass_nbr", "item_nbr")
@@ -124,99 +124,100 @@ def days_on_shelf(panel: DataFrame) -> DataFrame:
     )
 
 
-def _units(window) -> Column:
-    return from_hundredths(F.sum(hundredths(F.col("unit_sold_cnt"))).over(window))
+Spans = dict[str, tuple[int, int]]
 
+UNITS_BACK_SPANS: Spans = {
+    f"unit_sold_{k}_week_back_cnt": (-7 * k, -7 * k + 6) for k in range(1, BACK_WEEKS + 1)
+}
+UNITS_NEXT_SPANS: Spans = {
+    f"unit_sold_{k}_week_next_cnt": (1, 7 * k) for k in range(1, HORIZONS + 1)
+}
+PRICE_BACK_SPANS: Spans = {
+    f"avg_price_{k}_week_back_amt": (-7 * k, -7 * k + 6) for k in range(1, BACK_WEEKS + 1)
+}
+PRICE_NEXT_SPANS: Spans = {
+    f"avg_price_charged_{k}_week_next_amt": (7 * k - 7, 7 * k - 1) for k in range(1, HORIZONS + 1)
+}
+YEAR_BACK_SPANS: Spans = {"unit_sold_52_week_back_cnt": (-364, -358)}
 
-def _price(window) -> Column:
-    cents = hundredths(F.col("unit_price_amt"))
-    return F.try_divide(
-        from_hundredths(F.sum(cents).over(window)), F.count(cents).over(window).cast("double")
-    )
-
-
-def _back_units(keys: Sequence[str]) -> dict[str, Column]:
-    return {
-        f"unit_sold_{k}_week_back_cnt": _units(week_back(k, keys)) for k in range(1, BACK_WEEKS + 1)
-    }
 
+def _with_spans(
+    panel: DataFrame, *, units: Spans | None = None, prices: Spans | None = None, keys: Sequence[str]
+) -> DataFrame:
+    """Sum of units and mean price over spans of days relative to each row.
 
-def _next_units(keys: Sequence[str]) -> dict[str, Column]:
-    """Cumulative units of the next ``k`` weeks, as running totals of disjoint week sums.
-
-    Disjoint frames visit each following day once instead of once per horizon.
+    A span is the difference of two running totals. Running totals move forward one row at a
+    time, where a sliding frame starts over for every row, and spans share their end points. All
+    totals are longs, so the difference is exact; a span without rows is null.
     """
-    weeks = [
-        F.sum(hundredths(F.col("unit_sold_cnt"))).over(day_range(7 * k - 6, 7 * k, keys))
-        for k in range(1, HORIZONS + 1)
-    ]
-    return {f"_week_{k}": weeks[k - 1] for k in range(1, HORIZONS + 1)}
-
-
-def _cumulate(panel: DataFrame) -> DataFrame:
-    weeks = [F.col(f"_week_{k}") for k in range(1, HORIZONS + 1)]
-    totals = {}
-    for k in range(1, HORIZONS + 1):
-        seen = F.coalesce(*weeks[:k]).isNotNull()
-        total = sum((F.coalesce(w, F.lit(0)) for w in weeks[:k]), F.lit(0))
-        totals[f"unit_sold_{k}_week_next_cnt"] = F.when(seen, from_hundredths(total))
-    return panel.withColumns(totals).drop(*[f"_week_{k}" for k in range(1, HORIZONS + 1)])
-
-
-def _back_prices(keys: Sequence[str]) -> dict[str, Column]:
-    return {
-        f"avg_price_{k}_week_back_amt": _price(week_back(k, keys)) for k in range(1, BACK_WEEKS + 1)
-    }
-
-
-def _next_prices(keys: Sequence[str]) -> dict[str, Column]:
-    return {
-        f"avg_price_charged_{k}_week_next_amt": _price(day_range(7 * k - 7, 7 * k - 1, keys))
-        for k in range(1, HORIZONS + 1)
-    }
-
-
-def _year_back(keys: Sequence[str]) -> dict[str, Column]:
-    return {"unit_sold_52_week_back_cnt": _units(week_back(52, keys))}
+    units, prices = units or {}, prices or {}
+    entity = ", ".join(keys)
+    sources = {"_day": day_number()}
+    totals: dict[str, str] = {}
+    features: dict[str, str] = {}
+
+    def span(what: str, total: str, first: int, last: int) -> str:
+        ends = []
+        for day in (last, first - 1):
+            name = f"_{what}_{'m' if day < 0 else ''}{abs(day)}"
+            bound = f"{-day} PRECEDING" if day < 0 else f"{day} FOLLOWING"
+            totals[name] = (
+                f"coalesce({total} OVER (PARTITION BY {entity} ORDER BY _day "
+                f"RANGE BETWEEN UNBOUNDED PRECEDING AND {bound}), 0)"
+            )
+            ends.append(name)
+        return f"({ends[0]} - {ends[1]})"
+
+    if units:
+        sources["_sold"] = hundredths(F.col("unit_sold_cnt"))
+    for name, (first, last) in units.items():
+        rows, sold = span("rows", "count(1)", first, last), span("units", "sum(_sold)", first, last)
+        features[name] = f"CASE WHEN {rows} > 0 THEN {sold} / 100.0D END"
+    if prices:
+        sources["_cents"] = hundredths(F.col("unit_price_amt"))
+    for name, (first, last) in prices.items():
+        priced = span("priced", "count(_cents)", first, last)
+        cents = span("price", "sum(_cents)", first, last)
+        features[name] = f"CASE WHEN {priced} > 0 THEN {cents} / 100.0D / {priced} END"
+    return (
+        panel.withColumns(sources)
+        .selectExpr("*", *[f"{sql} AS {name}" for name, sql in totals.items()])
+        .selectExpr(*panel.columns, *[f"{sql} AS {name}" for name, sql in features.items()])
+    )
 
 
 def units_week_back(panel: DataFrame, *, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
     """Units sold in each of the last four weeks, days ``[-7k, -7k+6]``."""
-    return panel.withColumns(_back_units(keys))
+    return _with_spans(panel, units=UNITS_BACK_SPANS, keys=keys)
 
 
 def units_week_next(panel: DataFrame, *, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
     """Units sold over the next ``k`` weeks, cumulative, days ``[1, 7k]``."""
-    return _cumulate(panel.withColumns(_next_units(keys)))
+    return _with_spans(panel, units=UNITS_NEXT_SPANS, keys=keys)
 
 
 def price_week_back(panel: DataFrame, *, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
     """Mean daily unit price of each of the last four weeks, days ``[-7k, -7k+6]``."""
-    return panel.withColumns(_back_prices(keys))
+    return _with_spans(panel, prices=PRICE_BACK_SPANS, keys=keys)
 
 
 def price_week_next(panel: DataFrame, *, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
     """Mean daily unit price of the ``k``-th coming week, days ``[7(k-1), 7k-1]`` (k=1 has today)."""
-    return panel.withColumns(_next_prices(keys))
+    return _with_spans(panel, prices=PRICE_NEXT_SPANS, keys=keys)
 
 
 def units_52_week_back(panel: DataFrame, *, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
     """Units sold in the same week a year ago, days ``[-364, -358]``."""
-    return panel.withColumns(_year_back(keys))
+    return _with_spans(panel, units=YEAR_BACK_SPANS, keys=keys)
 
 
 def window_features(panel: DataFrame, *, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
-    """Every first-level window in one projection: one sort, one window pass."""
-    return _cumulate(
-        panel.withColumns(
-            {
-                **_back_units(keys),
-                **_next_units(keys),
-                **_back_prices(keys),
-                **_next_prices(keys),
-                **_year_back(keys),
-            }
-        )
+    """Every first-level span in one projection: one sort, one window pass."""
+    return _with_spans(
+        panel,
+        units={**UNITS_BACK_SPANS, **UNITS_NEXT_SPANS, **YEAR_BACK_SPANS},
+        prices={**PRICE_BACK_SPANS, **PRICE_NEXT_SPANS},
+        keys=keys,
     )
 
 

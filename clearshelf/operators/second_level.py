@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clearshelf.functions.calendar import with_us_calendar
 from clearshelf.functions.frames import PANEL_KEYS, day_range
-from clearshelf.functions.numeric import INF, from_hundredths, half_up, hundredths, ratio
+from clearshelf.functions.numeric import INF, from_hundredths, half_up_sql, hundredths, ratio
 from clearshelf.operators.first_level import ENTITY
 from clearshelf.params import (
     BACK_WEEKS,
@@ -370,12 +370,12 @@ def conform_schema(
     """Cast the known columns (doubles to two decimals), put them first, drop the listed ones."""
     df = df.drop(*[c for c in drop if c in df.columns])
 
-    def conformed(name: str, dtype: str) -> Column:
-        column = half_up(F.col(name)) if dtype == "double" else F.col(name).cast(dtype)
-        return column.alias(name)
+    def conformed(name: str, dtype: str) -> str:
+        return half_up_sql(name) if dtype == "double" else f"cast({name} AS {dtype})"
 
-    known = [conformed(name, dtype) for name, dtype in schema.items() if name in df.columns]
-    return df.select(*known, *[c for c in df.columns if c not in schema])
+    known = {name: conformed(name, dtype) for name, dtype in schema.items() if name in df.columns}
+    others = [c for c in df.columns if c not in schema]
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in known.items()], *others)
 
 
 def second_level_features(

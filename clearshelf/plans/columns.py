@@ -8,9 +8,8 @@ infinities become null, by the same arithmetic on both sides.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from clearshelf.functions.numeric import finite, half_up
+from clearshelf.functions.numeric import half_up_sql
 from clearshelf.operators.second_level import (
     BACK,
     DISCOUNTS,
@@ -42,13 +41,12 @@ def present(df: DataFrame, columns: list[str]) -> DataFrame:
     """Select the output columns of a query in their output types."""
     out = []
     for name, kind in map(split_kind, columns):
-        c = F.col(name)
         if kind == "d":
-            c = half_up(finite(c.cast("double")), DIGITS)
+            value = half_up_sql(name, DIGITS, infinite="NULL")
         else:
-            c = c.cast(SPARK_TYPES[kind])
-        out.append(c.alias(name))
-    return df.select(*out)
+            value = f"cast({name} AS {SPARK_TYPES[kind]})"
+        out.append(f"{value} AS {name}")
+    return df.selectExpr(*out)
 
 
 def sql_round(x: str, digits: int) -> str:
