@@ -19,8 +19,11 @@ _MARGIN = 5e-5
 
 
 def _bucket(value: Column) -> Column:
-    """Monotone bucket of a non-negative value; ``sqrt`` is exact, so every task agrees."""
-    return F.least(F.floor(F.sqrt(value) * 64), F.lit(_MAX_BUCKET)).cast("int")
+    """Monotone bucket of a non-negative value, fine near zero and open to about 1e13.
+
+    Spark takes logarithms with strict arithmetic, so every task agrees on the bucket.
+    """
+    return F.least(F.floor(F.log1p(value) * 2048), F.lit(_MAX_BUCKET)).cast("int")
 
 
 def in_order(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearshelf.functions.numeric import hundredths
+from clearshelf.sources.tables import stage
 
 
 def cast_columns(
@@ -23,20 +24,23 @@ def cast_columns(
     return df.withColumns(casts)
 
 
-def category_codes(train: DataFrame, *, col: str, target: str) -> DataFrame:
-    """(sum of target + prior) / (rows + 1) per category, and the prior.
+def category_codes(train: DataFrame, *, cols: Sequence[str], target: str) -> DataFrame:
+    """Target sum and row count of every category of every column, in one pass over ``train``.
 
-    The prior is the mean target of all rows. Targets are summed as whole hundredths.
+    Targets are summed as whole hundredths.
     """
-    per_category = train.groupBy(col).agg(
-        F.sum(hundredths(F.col(target))).alias("s"), F.count("*").alias("n")
-    )
-    return per_category.withColumn("sum_target", F.col("s").cast("double") / 100.0).select(
-        col, "sum_target", "n"
+    values = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in cols
+    ]
+    return (
+        train.select(F.explode(F.array(*values)).alias("v"), hundredths(F.col(target)).alias("t"))
+        .groupBy("v.column", "v.category")
+        .agg((F.sum("t").cast("double") / 100.0).alias("sum_target"), F.count("*").alias("n"))
     )
 
 
 def target_prior(train: DataFrame, *, target: str) -> DataFrame:
+    """Mean target of all rows."""
     total = F.sum(hundredths(F.col(target))).cast("double") / 100.0
     return train.agg((total / F.count("*").cast("double")).alias("prior"))
 
@@ -44,19 +48,22 @@ def target_prior(train: DataFrame, *, target: str) -> DataFrame:
 def target_encode(
     train: DataFrame, other: DataFrame, *, cols: Sequence[str], target: str
 ) -> DataFrame:
-    """Replace the category columns of ``other`` by codes fitted on ``train``.
+    """Replace the category columns of ``other`` by codes fitted on ``train``:
+    (sum of target + prior) / (rows + 1), and the prior for a category not seen there.
 
-    A category not seen in ``train`` gets the prior. Each code table has one row per category.
+    The codes are written out first: the planner then knows their size and, while they are
+    small, joins them without moving the rows of ``other``.
     """
+    codes = stage(category_codes(train, cols=cols, target=target), "category_codes")
     encoded = other.withColumn("_prior", target_prior(train, target=target).scalar())
     for c in cols:
-        codes = category_codes(train, col=c, target=target).withColumnRenamed(c, "_category")
+        own = codes.where(F.col("column") == c).drop("column")
         code = F.coalesce(
             (F.col("sum_target") + F.col("_prior")) / (F.col("n") + 1), F.col("_prior")
         )
         encoded = (
-            encoded.join(codes, F.col(c) == F.col("_category"), "left")
+            encoded.join(own, F.col(c).cast("string") == F.col("category"), "left")
             .withColumn(c, code)
-            .drop("_category", "sum_target", "n")
+            .drop("category", "sum_target", "n")
         )
     return encoded.drop("_prior")
