@@ -46,7 +46,7 @@ def item_dim(item: DataFrame, *, depts: Sequence[int]) -> DataFrame:
     return item.where(F.col("dept_nbr").isin(*depts)).select(*ITEM_COLUMNS).distinct()
 
 
-def item_dim_current(
+def current_items(
     item: DataFrame, *, country: str, division: int, excluded_subclasses: Sequence[int]
 ) -> DataFrame:
     """Current items of one country and division, outside the excluded subclasses."""
@@ -55,11 +55,19 @@ def item_dim_current(
         .where(F.col("country_code") == country)
         .where(F.col("base_div_nbr") == division)
         .where(~F.col("subclass_nbr").isin(*excluded_subclasses))
-        .select(*ITEM_COLUMNS)
-        .distinct()
     )
 
 
+def item_dim_current(
+    item: DataFrame, *, country: str, division: int, excluded_subclasses: Sequence[int]
+) -> DataFrame:
+    """Distinct item attributes of the current items."""
+    current = current_items(
+        item, country=country, division=division, excluded_subclasses=excluded_subclasses
+    )
+    return current.select(*ITEM_COLUMNS).distinct()
+
+
 def inventory_enriched(
     inventory: DataFrame,
     item_dim: DataFrame,
@@ -106,7 +114,13 @@ def manual_markdowns(
         .where(~F.col("club_nbr").isin(*excluded_clubs))
         .where(F.col("markdown_start_date_dt") >= _day(since))
         .where(reason.like(include_like) & ~reason.like(exclude_like))
-        .select("item_nbr", "club_nbr", "markdown_start_date_dt", "markdown_end_date_dt")
+        .select(
+            "item_nbr",
+            "club_nbr",
+            "markdown_start_date_dt",
+            "markdown_end_date_dt",
+            F.col("sp").alias("markdown_price_amt"),
+        )
     )
 
 
@@ -128,7 +142,11 @@ def plan_logs(
         .select(
             "item_nbr",
             "club_nbr",
-            "current_retail_price",
+            F.col("liquidation_value").alias("liquidation_price"),
+            F.col("predicted_md_units").alias("expected_sale_units"),
+            F.col("current_retail").alias("current_retail_price"),
+            F.col("current_units").alias("current_inventory"),
+            F.col("markdown_retail").alias("recommended_markdown_price"),
             F.col("oos_date").cast("timestamp").cast("date").alias("oos_date"),
             F.col("markdown_start_date").cast("timestamp").cast("date").alias("markdown_start_date_dt"),
             "date",

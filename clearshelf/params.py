@@ -17,6 +17,8 @@ EXCLUDED_VISIT_SUBTYPES = (198,)
 EXCLUDED_STATUS = ("R", "L", "D")
 EXCLUDED_SUBCLASSES = (61, 89, 91, 97)
 EXCLUDED_CLUBS = (6279,)
+COUNTRY = "US"
+DIVISION = 18
 ON_ORDER_DEPARTMENTS = (42, 44, 57)
 PLAN_STATUS = (10, 11)
 INVENTORY_WEIGHT = 0.7
@@ -97,6 +99,8 @@ class Params:
     excluded_status: tuple[str, ...] = EXCLUDED_STATUS
     excluded_subclasses: tuple[int, ...] = EXCLUDED_SUBCLASSES
     excluded_clubs: tuple[int, ...] = EXCLUDED_CLUBS
+    country: str = COUNTRY
+    division: int = DIVISION
     dates: RunDates = field(init=False)
 
     def __post_init__(self) -> None:

@@ -138,9 +138,11 @@ COLUMNS: dict[str, list[str]] = {
     ],
     "manual_markdowns": [
         "item_nbr:i", "club_nbr:i", "markdown_start_date_dt:t", "markdown_end_date_dt:t",
+        "markdown_price_amt",
     ],
     "plan_logs": [
-        "item_nbr:i", "club_nbr:i", "current_retail_price", "oos_date:t",
+        "item_nbr:i", "club_nbr:i", "liquidation_price", "expected_sale_units",
+        "current_retail_price", "current_inventory", "recommended_markdown_price", "oos_date:t",
         "markdown_start_date_dt:t", "date:t", "plan_id:i",
     ],
     "child_inventory": ["item_nbr:i", "club_nbr:i", "snapshot_date:t", "inventory_qty:i"],

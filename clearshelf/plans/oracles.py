@@ -105,14 +105,18 @@ CTE["plan_details"] = """
 SELECT item_nbr, club_nbr, visit_date AS created_date, visit_date AS markdown_start_date,
        visit_date + (28 + (mds_fam_id % 5) * 7) AS oos_date,
        max(retail_price::DOUBLE / unit_qty::DOUBLE) AS current_retail_price,
+       max(retail_price::DOUBLE / unit_qty::DOUBLE) * 0.25::DOUBLE AS liquidation_price,
+       max(retail_price::DOUBLE / unit_qty::DOUBLE) * 0.75::DOUBLE AS recommended_markdown_price,
+       sum(unit_qty)::DOUBLE AS expected_sale_units, sum(unit_qty)::DOUBLE * 12 AS current_inventory,
        mds_fam_id * 10 + club_nbr AS plan_id,
        10 + (mds_fam_id + club_nbr) % 3 AS plan_status_code,
        CASE WHEN scan_type = 1 THEN 'Data science' ELSE 'Manual' END AS markdown_reason_code
 FROM scan_by_club GROUP BY mds_fam_id, item_nbr, club_nbr, visit_date, scan_type"""
 CTE["manual_executions"] = """
-SELECT DISTINCT item_nbr, club_nbr, visit_date AS md_start_date, visit_date + 35 AS md_end_date,
+SELECT item_nbr, club_nbr, visit_date AS md_start_date, visit_date + 35 AS md_end_date,
+       sum(retail_price)::DOUBLE * 0.5::DOUBLE AS sp,
        CASE WHEN mds_fam_id % 3 = 0 THEN 'DS-1' ELSE 'EOL-1' END AS retail_reason_code
-FROM scan_by_club WHERE day(visit_date) % 7 = 1"""
+FROM scan_by_club WHERE day(visit_date) % 7 = 1 GROUP BY mds_fam_id, item_nbr, club_nbr, visit_date"""
 CTE["cart_event"] = """
 SELECT event_id, user_id AS member_id, ts::DATE AS date,
        CASE WHEN event_id % 2 = 0 THEN 'app' ELSE 'web' END AS channel,
@@ -144,12 +148,13 @@ _EFFECTIVE = f"""CASE WHEN dept_nbr IN (2) THEN onsite_onhand_qty + on_order_qty
 CTE["inventory_effective"] = f"SELECT *, {_EFFECTIVE} AS inventory_qty FROM inventory_enriched"
 CTE["manual_markdowns"] = f"""
 SELECT item_nbr, club_nbr, md_start_date AS markdown_start_date_dt,
-       md_end_date AS markdown_end_date_dt
+       md_end_date AS markdown_end_date_dt, sp AS markdown_price_amt
 FROM manual_executions
 WHERE club_nbr NOT IN (6279) AND md_start_date >= {_d(D.max_eval_start)}
   AND retail_reason_code NOT LIKE '%DS%' AND retail_reason_code LIKE '%EOL%'"""
 CTE["plan_logs"] = f"""
-SELECT DISTINCT item_nbr, club_nbr, current_retail_price, oos_date,
+SELECT DISTINCT item_nbr, club_nbr, liquidation_price, expected_sale_units, current_retail_price,
+       current_inventory, recommended_markdown_price, oos_date,
        markdown_start_date AS markdown_start_date_dt, created_date AS date, plan_id
 FROM plan_details
 WHERE plan_status_code IN (10, 11) AND created_date >= {_d(D.max_eval_start)}
@@ -510,6 +515,7 @@ CTE["child_sales_1w"] = f"""
 SELECT child_nbr AS item_nbr, club_nbr, sum(unit_qty) AS unit_qty_1w
 FROM scan_sales s JOIN item_master m USING (scan_id)
 WHERE dept_nbr IN {_in(PARAMS.departments)} AND unit_qty > 0
+  AND current_ind = 'Y' AND country_code = 'US' AND base_div_nbr = 18 AND subclass_nbr NOT IN (9)
   AND visit_date BETWEEN {_d(D.child_sales_week[0])} AND {_d(D.child_sales_week[1])}
 GROUP BY ALL"""
 CTE["disagg_input"] = """

@@ -83,8 +83,8 @@ def item_dim(ws):
 def item_dim_current(ws):
     return sc.item_dim_current(
         ws.item_master(),
-        country="US",
-        division=18,
+        country=ws.params.country,
+        division=ws.params.division,
         excluded_subclasses=ws.params.excluded_subclasses,
     )
 

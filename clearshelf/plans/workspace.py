@@ -164,7 +164,12 @@ class Workspace:
     def child_sales(self) -> DataFrame:
         start, end = self.dates.child_sales_week
         listed = F.col("dept_nbr").isin(*self.params.departments)
-        children = self.tables.child_master().where(listed)
+        children = sc.current_items(
+            self.tables.child_master().where(listed),
+            country=self.params.country,
+            division=self.params.division,
+            excluded_subclasses=self.params.excluded_subclasses,
+        )
         sales = self.scan_sales().join(children.select("scan_id", "item_nbr"), "scan_id")
         return sc.child_sales_1w(sales, start=start, end=end)
 

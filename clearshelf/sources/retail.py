@@ -77,6 +77,9 @@ class RetailTables:
             F.col("item_nbr").alias("parent_item_nbr"),
             "dept_nbr",
             "subclass_nbr",
+            "current_ind",
+            "country_code",
+            "base_div_nbr",
         )
 
     def item_xref(self) -> DataFrame:
@@ -152,14 +155,21 @@ class RetailTables:
         return (
             self._scan_by_club(items)
             .groupBy("mds_fam_id", "item_nbr", "club_nbr", "visit_date", "scan_type")
-            .agg(F.max(unit_price).alias("current_retail_price"))
+            .agg(
+                F.max(unit_price).alias("current_retail"),
+                F.sum("unit_qty").cast("double").alias("units"),
+            )
             .select(
                 "item_nbr",
                 "club_nbr",
                 F.col("visit_date").alias("created_date"),
                 F.col("visit_date").alias("markdown_start_date"),
                 F.date_add("visit_date", 28 + (brand % 5) * 7).alias("oos_date"),
-                "current_retail_price",
+                "current_retail",
+                (F.col("current_retail") * 0.25).alias("liquidation_value"),
+                (F.col("current_retail") * 0.75).alias("markdown_retail"),
+                F.col("units").alias("predicted_md_units"),
+                (F.col("units") * 12).alias("current_units"),
                 (brand * 10 + club).alias("plan_id"),
                 F.when(F.col("scan_type") == 1, "Data science")
                 .otherwise("Manual")
@@ -182,13 +192,14 @@ class RetailTables:
         return (
             self._scan_by_club(items)
             .where(F.dayofmonth("visit_date") % 7 == 1)
-            .select("mds_fam_id", "item_nbr", "club_nbr", "visit_date")
-            .distinct()
+            .groupBy("mds_fam_id", "item_nbr", "club_nbr", "visit_date")
+            .agg(F.sum("retail_price").cast("double").alias("amount"))
             .select(
                 "item_nbr",
                 "club_nbr",
                 F.col("visit_date").alias("md_start_date"),
                 F.date_add("visit_date", 35).alias("md_end_date"),
+                (F.col("amount") * 0.5).alias("sp"),
                 F.when(F.col("mds_fam_id") % 3 == 0, "DS-1")
                 .otherwise("EOL-1")
                 .alias("retail_reason_code"),
