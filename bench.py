@@ -1,7 +1,9 @@
-"""Time the headline queries from the driver tables to their last row.
+"""Time the headline queries in the order of a nightly run.
 
-Every query starts without shared stage tables, so its time holds the whole chain it needs.
-Prints one JSON line.
+A run starts from the driver tables alone. Later queries read the tables earlier ones wrote, as
+the jobs of a night do, and a table's cost counts for the first query that needs it: the total is
+the time of the whole run. Set ``BENCH_ISOLATED=1`` to make every query build its own tables.
+A small warm-up run comes first. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -35,17 +37,30 @@ HEADLINE = (
 
 
 def timed(spark, name: str, sf_dir: str) -> float:
-    forget_workspaces()
+    if os.environ.get("BENCH_ISOLATED") == "1":
+        forget_workspaces()
     start = time.perf_counter()
     run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
     return round(time.perf_counter() - start, 3)
 
 
+def warm_up(spark, sf_dir: str) -> None:
+    """One unreported run on a smaller folder, so that class loading and compilation of the JVM
+    are not charged to the first queries."""
+    smaller = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
+    if os.path.isdir(smaller):
+        for name in HEADLINE:
+            timed(spark, name, smaller)
+    else:
+        timed(spark, "daily_sales", sf_dir)
+    forget_workspaces()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores, shuffle_partitions=int(cores) if cores.isdigit() else 8)
-    timed(spark, "daily_sales", sf_dir)  # starts the JVM's code paths; not reported
+    warm_up(spark, sf_dir)
     times = {name: timed(spark, name, sf_dir) for name in HEADLINE}
     print(
         json.dumps(

@@ -15,6 +15,8 @@ from clearshelf.params import DISCOUNT_GRID
 
 QUARTILES = ("q1", "median", "q3")
 SAMPLE = ("club_nbr", "item_nbr", "date", "num_weeks")
+
+# The two statements of the check.
 ALL_MONOTONIC = "All Item Clubs Show Monotonic Behavior"
 NOT_MONOTONIC = "Item Clubs Do Not Show Monotonic Behavior"
 

@@ -16,24 +16,33 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def read_table(
     spark: SparkSession,
-    path: str,
+    path: str | None = None,
     *,
     columns: Sequence[str] | None = None,
     where: Column | None = None,
     format: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Columnar table read; the filter and the column list reach the scan."""
-    df = spark.read.format(format).load(path)
+    """Table read from a file format or a connector (which takes ``options`` and no path).
+
+    The filter and the column list reach the scan.
+    """
+    df = spark.read.format(format).options(**(options or {})).load(path)
     if where is not None:
         df = df.where(where)
     return df.select(*columns) if columns else df
 
 
 def write_table(
-    df: DataFrame, path: str, *, mode: str = "overwrite", format: str = "parquet"
+    df: DataFrame,
+    path: str | None = None,
+    *,
+    mode: str = "overwrite",
+    format: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Write a table; ``mode`` is ``overwrite`` for feature tables and ``append`` for logs."""
-    df.write.mode(mode).format(format).save(path)
+    df.write.mode(mode).format(format).options(**(options or {})).save(path)
 
 
 def extract_parquet(frames: Mapping[str, DataFrame], root: str) -> dict[str, str]:
