@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from datetime import date
 
-from clearshelf.operators.evaluation import HORIZONS
 from clearshelf.operators.sampling import COVARIATES, STOCK_WEEKS
 from clearshelf.operators.second_level import (
     BACK,
@@ -42,18 +41,10 @@ def _in(values) -> str:
     return "(" + ", ".join(repr(v) for v in values) + ")"
 
 
-def _each(template: str, values, joiner: str = ", ") -> str:
-    return joiner.join(template.format(k=k, k1=k + 1, k0=k - 1) for k in values)
-
-
 def r2(x: str) -> str:
     return sql_round(x, 2)
 
 
-def r4(x: str) -> str:
-    return sql_round(x, 4)
-
-
 def div(a: str, b: str) -> str:
     return f"(({a})::DOUBLE / nullif(({b})::DOUBLE, 0))"
 
