@@ -63,19 +63,24 @@ def append_results(df: DataFrame, path: str, *, schema: T.StructType, run_date:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster a machine-local
-    path would be lost with its machine.
+    Where the setting is absent, a session that has set a checkpoint folder uses that one. Only a
+    local session, whose executors are the driver, may get a folder of its own.
     """
-    configured = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
-        _CHECKPOINT_DIR
-    )
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    configured = spark.conf.get(_CHECKPOINT_DIR, None) or context.getConf().get(_CHECKPOINT_DIR)
+    folder = configured or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="clearshelf-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="clearshelf-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -84,8 +89,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage where several consumers follow. Unlike ``checkpoint()`` the result is a
     columnar table: each consumer reads only its columns, and its size is known to the planner.
     """
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    path = fresh_path(df.sparkSession, name)
     write_table(df, path, mode="errorifexists")
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

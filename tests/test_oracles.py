@@ -6,15 +6,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from clearshelf.plans.oracles import ROWS_ONLY
+from clearshelf.plans.oracles import ROWS_ONLY, oracles
+from clearshelf.plans.queries import registered
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
     "date": "DATE", "boolean": "BOOLEAN",
 }
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = registered()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +53,11 @@ def test_only_model_queries_have_no_oracle():
     assert set(QUERIES) - set(ORACLES) == set(ROWS_ONLY)
 
 
+def test_all_of_them_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 def test_entry_runs(spark):
     assert entry_module.entry(spark).count() > 0
 
