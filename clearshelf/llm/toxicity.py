@@ -1,15 +1,15 @@
 """Toxicity by weak supervision: a generative label model over many lexicon and pattern voters, and
 a linear classifier trained on its posterior labels.
 
-Voters are mined from labelled training rows: lexicon voters fire on a word, pattern voters on any
-word with a given stem. The label model knows no words; it sees who fires together.
+Voters are mined from labelled training rows: lexicon voters fire on a word, pattern voters where
+words with a stem reach a share of the text. The label model sees who fires together.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,14 +26,19 @@ from clearshelf.sources.tables import stage
 class Params:
     #: Labelled rows the model is fitted on, those of the smallest id hash; a bound on driver memory.
     sample_rows: int = 20_000
-    #: Words and stems counted in toxic rows, by support.
-    candidates: int = 30_000
-    #: Lexicon voters and pattern voters of each polarity, at most.
+    #: Words and stems of toxic rows that are looked at, by support; a bound on what the driver gets.
+    candidates: int = 50_000
+    #: Lexicon voters, and pattern voters, at most.
     voters: int = 256
+    #: Lengths of stems in bytes.
     stems: tuple[int, ...] = (4, 5, 6, 7, 8)
-    least_support: int = 3
+    #: A pattern voter fires if words with its stem reach such a share of a text; 0: any word.
+    shares: tuple[float, ...] = (0.0, 0.005, 0.01)
+    least_support: int = 4
+    #: Lower end of a voter's log odds; a voter also fires in more toxic rows than others.
+    least_odds: float = 1.5
     em_rounds: int = 30
-    fit_rounds: int = 300
+    fit_rounds: int = 25
     l2: float = 1e-3
     hold_out: int = 5
 
@@ -43,41 +48,67 @@ class Model:
     """Voters with their weights; a score needs nothing else."""
 
     words: dict[bytes, int] = field(default_factory=dict)
-    stems: dict[bytes, int] = field(default_factory=dict)
+    #: stem: (least share, index of the voter), ...
+    stems: dict[bytes, list[tuple[float, int]]] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = -math.log(99.0)
-    lengths: tuple[int, ...] = ()
 
-    def fired(self, distinct: set[bytes]) -> list[int]:
-        """Indices of the voters that fire on a set of words."""
-        found = [self.words[w] for w in distinct & self.words.keys()]
-        for n in self.lengths:
-            stems = {w[:n] for w in distinct} & self.stems.keys()
-            found += [self.stems[s] for s in stems if len(s) == n]
-        return found
+    def __post_init__(self) -> None:
+        self.lengths = tuple(sorted({len(x) for x in self.stems}))
+        self.heads = {x[: self.lengths[0]] for x in self.stems} if self.stems else set()
+        self.voters = len(self.words) + sum(map(len, self.stems.values()))
+
+    def fired(self, words: list[bytes]) -> tuple[list[int], float]:
+        """The voters that fire on a text, and the share of its words that made any fire."""
+        counts = Counter(words)
+        hit = counts.keys() & self.words.keys()
+        found = [self.words[w] for w in hit]
+        touched = set(hit)
+        if self.stems:
+            first, totals = self.lengths[0], Counter()
+            for w in counts:
+                if w[:first] in self.heads:
+                    for n in self.lengths:
+                        if len(w) > n and w[:n] in self.stems:
+                            totals[w[:n]] += counts[w]
+                            touched.add(w)
+            for stem, n in totals.items():
+                found += [i for share, i in self.stems[stem] if n >= share * len(words)]
+        return found, sum(counts[w] for w in touched) / len(words) if words else 0.0
 
     def score(self, words: list[bytes]) -> float:
         """Probability that a text is toxic."""
-        x = features(self.fired(set(words)), len(self.weights) - 2)
-        z = float(self.weights[x[0]] @ x[1]) + self.bias if len(self.weights) else self.bias
+        z = self.bias
+        if len(self.weights):
+            index, values = features(*self.fired(words), self.voters)
+            z += float(self.weights[index] @ values)
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def features(fired: list[int], voters: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse features: each voter that fired, whether any did, and the log of how many did."""
-    index = np.array([*fired, voters, voters + 1], np.int64)
+#: Features after those of the voters: did any fire, the log of how many, the share of words.
+MORE = 3
+
+
+def features(fired: list[int], share: float, voters: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse features of a text, index and value."""
+    index = np.array([*fired, voters, voters + 1, voters + 2], np.int64)
     values = np.ones(len(index))
-    values[-2] = 1.0 if fired else 0.0
-    values[-1] = math.log1p(len(fired))
+    values[-3:] = float(bool(fired)), math.log1p(len(fired)), min(100 * share, 5.0)
     return index, values
 
 
-def word_features(words: Iterable[bytes], stems: tuple[int, ...]) -> set[bytes]:
-    """The words of a text, each after ``w``, and their stems, each after ``s``."""
-    distinct = set(words)
-    found = {b"w" + w for w in distinct}
-    for n in stems:
-        found |= {b"s" + w[:n] for w in distinct if len(w) > n}
+def voices(words: list[bytes], params: Params) -> set[bytes]:
+    """All that could fire on a text: ``w`` and a word, or the number of a share and a stem."""
+    counts = Counter(words)
+    found = {b"w" + w for w in counts}
+    totals: Counter = Counter()
+    for n in params.stems:
+        for w, k in counts.items():
+            if len(w) > n:
+                totals[w[:n]] += k
+    for level, share in enumerate(params.shares):
+        least = share * len(words)
+        found |= {b"%d" % level + stem for stem, k in totals.items() if k >= least}
     return found
 
 
@@ -100,150 +131,147 @@ def labelled(docs: DataFrame, labels: DataFrame, params: Params) -> DataFrame:
 
 
 def _counted(rows: DataFrame, params: Params, among: set[bytes] | None) -> DataFrame:
-    """(``feature``, ``n``): rows with each feature, added up in every task before the shuffle."""
+    """(``voice``, ``n``): rows with each, added up in every task before the shuffle."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             for text in utf8(batch, "_text"):
-                found = word_features(alnum_words(text), params.stems)
+                found = voices(alnum_words(text), params)
                 counts.update(found if among is None else found & among)
         names = list(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.binary()), pa.array([counts[x] for x in names], pa.int64())],
-            names=["feature", "n"],
+            names=["voice", "n"],
         )
 
-    parts = arrow_map(rows.select("_text"), counted, "feature binary, n long")
-    return parts.groupBy("feature").agg(F.sum("n").alias("n"))
+    parts = arrow_map(rows.select("_text"), counted, "voice binary, n long")
+    return parts.groupBy("voice").agg(F.sum("n").alias("n"))
 
 
-def mine_voters(sample: DataFrame, params: Params) -> tuple[list[bytes], list[bytes]]:
-    """Words and stems that toxic rows have far more often than others.
+def mine_voters(sample: DataFrame, params: Params) -> Model:
+    """A model without weights: the words and stems that toxic rows have far more often than others.
 
     Toxic rows propose the candidates, the other rows count only those. A voter's standing is the
-    lower end of its log odds. A stem that one lexicon word accounts for is left to that word.
+    lower end of its log odds times the root of its support. A longer stem that fires as often as a
+    chosen shorter one says nothing new.
     """
     sizes = {r["_y"]: r["n"] for r in sample.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
-        return [], []
+        return Model()
     toxic = _counted(sample.where("_y = 1"), params, None).where(F.col("n") >= params.least_support)
-    top = toxic.orderBy(F.col("n").desc(), "feature").limit(params.candidates).collect()
-    first = {bytes(r["feature"]): r["n"] for r in top}
+    top = toxic.orderBy(F.col("n").desc(), "voice").limit(params.candidates).collect()
+    first = {bytes(r["voice"]): r["n"] for r in top}
     other = _counted(sample.where("_y = 0"), params, set(first))
-    second = {bytes(r["feature"]): r["n"] for r in other.collect()}
+    second = {bytes(r["voice"]): r["n"] for r in other.collect()}
     ranked = []
     for name, n in first.items():
-        p = (n + 0.5) / (sizes[1] + 1)
-        q = (second.get(name, 0) + 0.5) / (sizes[0] + 1)
-        spread = math.sqrt(1 / (n + 0.5) + 1 / (second.get(name, 0) + 0.5))
-        low = math.log(p / q) - 1.96 * spread
-        if low > 0.5:
-            ranked.append((-low * math.sqrt(n), name))
+        k = second.get(name, 0)
+        odds = math.log((n + 0.5) / (sizes[1] + 1)) - math.log((k + 0.5) / (sizes[0] + 1))
+        low = odds - 1.96 * math.sqrt(1 / (n + 0.5) + 1 / (k + 0.5))
+        if low > params.least_odds and n > k:
+            ranked.append((-low * math.sqrt(n), len(name), name))
     ranked.sort()
-    words = [x[1:] for _, x in ranked if x[:1] == b"w"][: params.voters]
-    stems: list[bytes] = []
-    for _, x in ranked:
-        stem = x[1:]
-        if x[:1] == b"s" and len(stems) < params.voters:
-            # a longer stem that fires as often as a chosen shorter one says nothing new
-            if not any(
-                (stem.startswith(s) or s.startswith(stem)) and first[b"s" + s] == first[x]
-                for s in stems
-            ):
-                stems.append(stem)
-    return words, stems
-
-
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int) -> np.ndarray:
-    """Posterior probability of the toxic class for each row of a vote matrix.
-
-    Every voter, the human label ``gold`` among them, fires with a rate of its own in each class;
-    rates and class balance come from expectation maximisation that starts at the share of votes.
-    Voters that fire together within a class share their weight: each is divided by one plus the
-    sum of its correlations with the others, estimated in every round given the posterior.
+    words = [x[1:] for _, _, x in ranked if x[:1] == b"w"][: params.voters]
+    model = Model(words={w: i for i, w in enumerate(words)})
+    chosen: dict[bytes, list[bytes]] = {}
+    for _, _, x in ranked:
+        level, stem = x[:1], x[1:]
+        if level == b"w" or model.voters - len(words) >= params.voters:
+            continue
+        same = chosen.setdefault(level, [])
+        if any((stem.startswith(s) or s.startswith(stem)) and first[level + s] == first[x] for s in same):
+            continue
+        same.append(stem)
+        model.stems.setdefault(stem, []).append((params.shares[int(level)], model.voters))
+        model.voters += 1
+    model.__post_init__()
+    return model
+
+
+def label_model(fired: np.ndarray, gold: np.ndarray, rounds: int) -> np.ndarray:
+    """Posterior probability of the toxic class for each row of a 0/1 matrix of fired voters.
+
+    A voter that does not fire abstains; one more voter fires where all others abstain, and the
+    human label ``gold`` counts as two, one for each class. Every voter fires at a rate of its own in
+    either class. Rates and class balance come from expectation maximisation that starts at the
+    human labels. Voters that fire together within a class share their weight: each is divided by
+    one plus the sum of its correlations with the others, estimated in every round given the
+    posterior. Human labels depend on nothing but the class.
     """
-    votes = np.concatenate([votes, gold[:, None]], axis=1).astype(np.float64)
+    silent = 1 - fired.any(axis=1, keepdims=True)
+    votes = np.concatenate([fired, silent], axis=1).astype(np.float32)
+    human = np.stack([gold, 1 - gold], axis=1).astype(np.float64)
     n, m = votes.shape
-    posterior = np.clip(0.5 * (votes[:, :-1].any(axis=1)) + 0.45 * gold + 0.02, 0.01, 0.99)
+    posterior = np.where(gold > 0.5, 0.95, 0.02)
     for _ in range(rounds):
         balance = np.clip(posterior.mean(), 1e-4, 1 - 1e-4)
-        rates, scatter = [], np.zeros((m, m))
-        for weight in (1 - posterior, posterior):
+        odds, human_odds, scatter = np.zeros(m), np.zeros(2), np.zeros((m, m))
+        for sign, weight in ((-1, 1 - posterior), (1, posterior)):
             total = weight.sum()
-            rate = (weight @ votes + 0.05) / (total + 0.1)
-            centred = votes - rate
-            cov = (centred * weight[:, None]).T @ centred
+            rate = (weight @ votes + 0.5) / (total + 1)
+            odds += sign * np.log(rate)
+            human_odds += sign * np.log((weight @ human + 0.5) / (total + 1))
+            centred = votes - rate.astype(np.float32)
+            cov = ((centred * weight[:, None].astype(np.float32)).T @ centred).astype(np.float64)
             deviation = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
             scatter += cov / np.outer(deviation, deviation) * total / n
-            rates.append(np.clip(rate, 1e-5, 1 - 1e-5))
         correlation = np.clip(scatter, 0, 1)
         np.fill_diagonal(correlation, 0)
         correlation[correlation < 0.1] = 0
         share = 1 / (1 + correlation.sum(axis=1))
-        on = np.log(rates[1] / rates[0]) * share
-        off = np.log((1 - rates[1]) / (1 - rates[0])) * share
-        z = math.log(balance / (1 - balance)) + votes @ on + (1 - votes) @ off
+        z = math.log(balance / (1 - balance)) + votes @ (odds * share) + human @ human_odds
         updated = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        if np.abs(updated - posterior).max() < 1e-4:
+        if np.abs(updated - posterior).max() < 1e-3:
             return updated
         posterior = updated
     return posterior
 
 
-def fit_linear(rows: list[list[int]], posterior: np.ndarray, voters: int, params: Params) -> tuple:
-    """Weights and bias of a logistic regression on posterior labels, by accelerated gradients."""
-    size = voters + 2
-    x = np.zeros((len(rows), size), np.float64)
-    for i, fired in enumerate(rows):
-        index, values = features(fired, voters)
-        x[i, index] = values
-    # rows with the same features count together
-    unique, at, counts = np.unique(x, axis=0, return_inverse=True, return_counts=True)
-    at = at.reshape(-1)
-    y = np.bincount(at, weights=posterior, minlength=len(unique)) / counts
-    weight = counts / len(rows)
-    w, v = np.zeros(size + 1), np.zeros(size + 1)
-    full = np.concatenate([unique, np.ones((len(unique), 1))], axis=1)
-    step = 1.0 / (0.25 * float((weight[:, None] * full**2).sum(axis=0).max()) * 8 + params.l2)
-    for k in range(params.fit_rounds):
-        p = 1 / (1 + np.exp(-np.clip(full @ v, -30, 30)))
-        gradient = full.T @ (weight * (p - y)) + params.l2 * np.append(v[:-1], 0) / 10
-        new = v - step * gradient
-        v = new + k / (k + 3) * (new - w)
-        w = new
+def fit_linear(x: np.ndarray, posterior: np.ndarray, params: Params) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression on posterior labels, by Newton's method."""
+    full = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1).astype(np.float64)
+    w = np.zeros(full.shape[1])
+    penalty = np.full(len(w), params.l2)
+    penalty[-1] = 1e-9
+    for _ in range(params.fit_rounds):
+        p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
+        gradient = full.T @ (p - posterior) / len(full) + penalty * w
+        curve = np.clip(p * (1 - p), 1e-6, None)
+        hessian = (full * curve[:, None]).T @ full / len(full) + np.diag(penalty)
+        step = np.linalg.solve(hessian, gradient)
+        w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-6:
+            break
     return w[:-1], float(w[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     """The fitted model. Without labels of both classes every text gets the score of the bias."""
     sample = stage(labelled(docs, labels, params), "labelled")
-    words, stems = mine_voters(sample, params)
-    if not words and not stems:
-        return Model()
-    model = Model(
-        words={w: i for i, w in enumerate(words)},
-        stems={s: len(words) + i for i, s in enumerate(stems)},
-        lengths=tuple(sorted({len(s) for s in stems})),
-    )
+    model = mine_voters(sample, params)
+    if not model.voters:
+        return model
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fired = [model.fired(set(alnum_words(t))) for t in utf8(batch, "_text")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(fired, pa.list_(pa.int32())), batch.column(1)], names=["fired", "_y"]
-            )
+            found = [model.fired(alnum_words(t)) for t in utf8(batch, "_text")]
+            arrays = [
+                pa.array([sorted(x) for x, _ in found], pa.list_(pa.int32())),
+                pa.array([x for _, x in found], pa.float64()),
+                batch.column(1),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["fired", "share", "_y"])
 
     # at most sample_rows rows of at most 2 x voters numbers
-    votes = arrow_map(sample, voted, "fired array<int>, _y int").collect()
-    fired = [sorted(r["fired"]) for r in votes]
+    votes = arrow_map(sample, voted, "fired array<int>, share double, _y int").collect()
     gold = np.array([r["_y"] for r in votes], np.float64)
-    voters = len(words) + len(stems)
-    matrix = np.zeros((len(fired), voters), np.float32)
-    for i, found in enumerate(fired):
-        matrix[i, found] = 1
-    posterior = label_model(matrix, gold, params.em_rounds)
-    model.weights, model.bias = fit_linear(fired, posterior, voters, params)
+    x = np.zeros((len(votes), model.voters + MORE), np.float32)
+    for i, r in enumerate(votes):
+        index, values = features(r["fired"], r["share"], model.voters)
+        x[i, index] = values
+    posterior = label_model(x[:, : model.voters], gold, params.em_rounds)
+    model.weights, model.bias = fit_linear(x, posterior, params)
     return model
 
 
