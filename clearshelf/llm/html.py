@@ -234,9 +234,13 @@ def main_text(html: str) -> str:
     Boilerplate elements go first. Paragraphs pass points for length and commas to their ancestors,
     whose score is discounted by the share of their text that is in links. The best container is
     widened to the article around it and kept whole, with those siblings that score a fifth of it
-    or are paragraphs, headings or other plain blocks mostly outside links.
+    (5 at least) or are paragraphs, headings or other plain blocks mostly outside links. A tag cut
+    off by the end of the page is no text.
     """
     tree = _Tree()
+    last = html.rfind("<")
+    if last >= 0 and re.match(r"</?[A-Za-z][^>]*\Z", html[last:]):
+        html = html[:last]  # the page ends inside a tag
     tree.feed(html)
     tree.close()
     _prune(tree.root)
@@ -251,7 +255,7 @@ def main_text(html: str) -> str:
         best = whole
     if best.parent is None:
         return _text(best.children)
-    least = max(10.0, points / 5)
+    least = max(5.0, points / 5)
     scores = {id(node): s for s, _, node in discounted}
     kept = []
     for child in best.parent.children:

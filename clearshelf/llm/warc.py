@@ -28,28 +28,29 @@ VERSION = b"WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
 BOUNDARY = RECORD_END + VERSION.decode()
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-EMPTY_SHA1 = hashlib.sha1(b"").hexdigest()
+_BOUNDARIES = re.compile(b"(?=" + re.escape(BOUNDARY.encode()) + b")")
 
 
 def base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def cuts(block: bytes, chunk_bytes: int) -> Iterator[tuple[int, int]]:
-    """(start, end) of the chunks of a block.
+def cuts(block: bytes, chunk_bytes: int, head: int = 0) -> Iterator[tuple[int, int]]:
+    """(start, end) of the chunks of a block; the first one has ``head`` bytes more.
 
     Chunks end between UTF-8 characters. No chunk holds the boundary between two records nor
     begins with the line that begins a record, so that a reader may split at the boundary: a cut
     falls inside that line wherever the block has it.
     """
-    forced = [m.start() + 6 for m in re.finditer(BOUNDARY.encode(), block)]
-    start, size = 0, len(block)
+    forced = iter([m.start() + 6 for m in _BOUNDARIES.finditer(block)])
+    start, size, inside = 0, len(block), next(forced, None)
     while True:
-        end = min(start + chunk_bytes, size)
+        end = min(start + chunk_bytes + (head if start == 0 else 0), size)
         while start + 1 < end < size and block[end] & 0xC0 == 0x80:
             end -= 1
-        inside = next((f for f in forced if start < f < end), None)
-        if inside is not None:
+        while inside is not None and inside <= start:
+            inside = next(forced, None)
+        if inside is not None and inside < end:
             end = inside
         elif end < size and block.startswith(VERSION, end):
             end += 2
@@ -107,7 +108,7 @@ def records(
         yield _header([*fields, *common, ("Content-Length", len(http))]) + http
         return
     block = http + payload
-    pieces = list(cuts(block, chunk_bytes))
+    pieces = list(cuts(block, chunk_bytes, len(http)))
     running = hashlib.sha1()
     for k, (start, end) in enumerate(pieces, 1):
         body = memoryview(block)[max(start, len(http)) : max(end, len(http))]
