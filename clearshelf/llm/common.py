@@ -21,6 +21,10 @@ ALNUM_TABLE = bytes(
 )
 
 
+#: Most bytes of a batch that goes to a worker, but for a single longer row.
+BATCH_BYTES = 16 * 1024 * 1024
+
+
 def alnum_words(text: bytes | None) -> list[bytes]:
     """Lower-cased words of digits, letters and everything beyond ASCII; none of a null."""
     return text.translate(ALNUM_TABLE).split() if text else []
@@ -53,8 +57,9 @@ def as_row(df: DataFrame, name: str = "row") -> DataFrame:
 
 
 def arrow_map(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers' path."""
+    """``mapInArrow`` with this package on the workers' path and batches of bounded size."""
     ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(function, schema)
 
 

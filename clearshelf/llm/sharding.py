@@ -43,37 +43,74 @@ def _small_table(df: DataFrame, rows: Sequence[tuple], schema: str) -> DataFrame
     return F.broadcast(df.sparkSession.createDataFrame(list(rows), schema))
 
 
-def propagate(members: DataFrame, *, shards: int, capacity: int, rounds: int = 8) -> DataFrame:
+def _wishes(labels: DataFrame, shards: int, room: Sequence[int] | None) -> DataFrame:
+    """Rows that want to leave their shard, and where ``to``.
+
+    A group's home is the shard where most neighbours are. With ``room`` it is a shard with room for
+    the rest of the group, else any with room; among these the one with most neighbours. Ties go by
+    a hash of group and shard. Where the rest does not fit, rows move only to where more neighbours
+    are. One row per group holds at most as many counts as there are shards.
+    """
+    counts = labels.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("grp").agg(
+        F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("held"),
+        F.sum("n").alias("size"),
+    )
+
+    def at(j: Column) -> Column:
+        return F.coalesce(F.try_element_at("held", j), F.lit(0).cast("long"))
+
+    def rank(j: Column) -> Column:
+        fits = F.lit(1)
+        if room is not None:
+            free = F.create_map(*[F.lit(x) for k, n in enumerate(room) for x in (k, max(0, n))])
+            fits = F.when(F.col("size") - at(j) <= free[j], 2).when(free[j] > 0, 1).otherwise(0)
+        return F.struct(
+            fits.alias("fits"), at(j).alias("n"), F.xxhash64("grp", j).alias("tie"), j.alias("shard")
+        )
+
+    best = F.array_max(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), rank))
+    homes = found.withColumn("best", best)
+    here, home = at(F.col("shard")), F.col("best")
+    uphill = (home["fits"] == 2) | (here < home["n"])
+    if room is None:
+        uphill = F.lit(True)
+    return labels.join(homes, "grp").where(
+        (F.col("shard") != home["shard"]) & (home["fits"] > 0) & uphill
+    ).select(
+        "key", "grp", "shard", home["shard"].alias("to"),
+        F.pmod(F.xxhash64("grp"), F.lit(256)).alias("_bucket"),
+    )
+
+
+def propagate(members: DataFrame, *, shards: int, capacity: int, rounds: int = 10) -> DataFrame:
     """(``key``, ``grp``, ``shard``) after label propagation under quotas.
 
     ``members`` has the distinct ``key`` of every linked row and its ``grp``; the rows of one group
-    are neighbours. Rows start in the shard of their key's hash. In every round a group's shard
-    counts name the shard where most neighbours are (ties: a hash of group and shard), and rows
-    elsewhere ask to move there. The shards x shards table of wishes is all that reaches the
-    driver, which grants as many as the capacity of ``capacity`` rows a shard allows; they are
-    granted by position in the order of groups, so that whole groups move first. A group larger
-    than a shard keeps its rest where it is. Every round ends in a table in the shared folder.
+    are neighbours. Rows start in the shard of their key's hash. In every round the shard counts of
+    a group name its home, and rows elsewhere ask to move there; every other round looks at the room
+    left as well. The shards x shards table of wishes is all that reaches the driver, which grants
+    exchanges, and moves as far as a capacity of ``capacity`` rows a shard allows. They are granted
+    by position in the order of groups, so that whole groups move first. A group larger than a
+    shard fills one after the other. Every round ends in a table in the shared folder.
     """
     start = F.pmod(F.xxhash64(F.lit("start"), "key"), F.lit(shards)).cast("int")
     now = stage(members.select("key", "grp", start.alias("shard")), "labels")
-    for _ in range(rounds):
-        counts = now.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
-        rank = F.struct("n", F.xxhash64("grp", "shard"), "shard")
-        best = counts.groupBy("grp").agg(F.max(rank).alias("best"))
-        wishes = (
-            now.join(best, "grp")
-            .where(F.col("shard") != F.col("best.shard"))
-            .select("key", "grp", "shard", F.col("best.shard").alias("to"))
-        )
-        wishes = stage(
-            wishes.withColumn("_bucket", F.pmod(F.xxhash64("grp"), F.lit(256))), "wishes"
-        )
+    idle = 0
+    for k in range(rounds):
+        held = _by_shard(now, shards)
+        room = [capacity - n for n in held] if k % 2 else None
+        wishes = stage(_wishes(now, shards, room), "wishes")
         flows = wishes.groupBy("shard", "to").agg(F.count(F.lit(1)).alias("n")).collect()
         wanted = {(r["shard"], r["to"]): r["n"] for r in flows}
-        held = _by_shard(now, shards)
         allowed = _moves(wanted, held, capacity)
-        if not allowed:
+        if not wanted and room is None:
+            break  # every group is whole
+        idle = 0 if allowed else idle + 1
+        if idle == 2:
             break
+        if not allowed:
+            continue
         granted = _small_table(
             now, [(i, j, n) for (i, j), n in allowed.items()], "i int, j int, most long"
         )
@@ -107,13 +144,14 @@ def _pick(values: Sequence[int], index: Column) -> Column:
     return F.element_at(array, (index + 1).cast("int"))
 
 
-def balanced_shards(rows: DataFrame, *, shards: int = 24, rounds: int = 8) -> DataFrame:
+def balanced_shards(rows: DataFrame, *, shards: int = 24, rounds: int = 10) -> DataFrame:
     """(``key``, ``shard``, ``slot``) of every row; shard counts differ by one at most.
 
     ``rows`` is a stored table with a distinct ``key`` (long) and the group ``grp`` of each row;
     rows of a group are linked, a null group links to nothing. Linked rows go through
-    ``propagate``; each shard keeps as many of them as it may hold, in the order of groups. All
-    other rows have no links and fill the shards up. ``slot`` numbers the rows of a shard from 0
+    ``propagate`` with a twentieth more room than a shard has in the end; each shard then keeps as
+    many of them as it may hold, in the order of groups. The groups beyond that, and all rows
+    without links, fill the shards up, group by group. ``slot`` numbers the rows of a shard from 0
     without a gap. An empty table gives no rows.
     """
     total = rows.count()
@@ -122,7 +160,10 @@ def balanced_shards(rows: DataFrame, *, shards: int = 24, rounds: int = 8) -> Da
     linked = stage(
         rows.join(groups.where(F.col("_n") > 1), "grp").select("key", "grp"), "linked"
     )
-    labels = propagate(linked, shards=shards, capacity=total // shards, rounds=rounds)
+    capacity = total // shards
+    labels = propagate(
+        linked, shards=shards, capacity=capacity + max(1, capacity // 20), rounds=rounds
+    )
     # groups stand together inside a shard, so that what does not fit comes from few groups
     placed = stage(
         positions(
@@ -139,9 +180,10 @@ def balanced_shards(rows: DataFrame, *, shards: int = 24, rounds: int = 8) -> Da
         until += n - have
         edges.append(until)
     before = [e - (n - have) for e, n, have in zip(edges, sizes, held, strict=True)]
-    free = rows.select("key").join(kept.select("key"), "key", "left_anti")
-    free = free.withColumn("_bucket", F.pmod(F.xxhash64("key"), F.lit(1024)))
-    dealt = positions(free, [], "_bucket", [F.col("key")], "at").withColumn(
+    free = rows.join(kept.select("key"), "key", "left_anti")
+    near = F.coalesce(F.xxhash64("grp"), F.xxhash64("key"))
+    free = stage(free.withColumn("_bucket", F.pmod(near, F.lit(1024))), "free")
+    dealt = positions(free, [], "_bucket", [F.col("grp"), F.col("key")], "at").withColumn(
         "shard", _first_above(edges, F.col("at")).cast("int")
     )
     slot = _pick(held, F.col("shard")) + F.col("at") - _pick(before, F.col("shard"))
@@ -165,7 +207,7 @@ def with_group(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     )
 
 
-def shard_rows(rows: DataFrame, *, shards: int = 24, rounds: int = 8) -> DataFrame:
+def shard_rows(rows: DataFrame, *, shards: int = 24, rounds: int = 10) -> DataFrame:
     """``rows`` with ``shard`` and ``slot``: rows of one ``grp`` are linked.
 
     The law held is ``rows``: counts differ by one at most. Repeated rows and null ids are rows

@@ -85,6 +85,8 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+#: Counts a mining task holds before it hands them on.
+_HELD = 100_000
 #: Features after those of the voters: did any fire, the log of how many, the share of words.
 MORE = 3
 
@@ -135,15 +137,19 @@ def _counted(rows: DataFrame, params: Params, among: set[bytes] | None) -> DataF
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+
+        def flushed() -> pa.RecordBatch:
+            arrays = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=["voice", "n"])
+
         for batch in batches:
             for text in utf8(batch, "_text"):
                 found = voices(alnum_words(text), params)
                 counts.update(found if among is None else found & among)
-        names = list(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array([counts[x] for x in names], pa.int64())],
-            names=["voice", "n"],
-        )
+                if len(counts) > _HELD:
+                    yield flushed()
+        yield flushed()
 
     parts = arrow_map(rows.select("_text"), counted, "voice binary, n long")
     return parts.groupBy("voice").agg(F.sum("n").alias("n"))
@@ -189,8 +195,9 @@ def mine_voters(sample: DataFrame, params: Params) -> Model:
     return model
 
 
-def label_model(fired: np.ndarray, gold: np.ndarray, rounds: int) -> np.ndarray:
-    """Posterior probability of the toxic class for each row of a 0/1 matrix of fired voters.
+def label_model(fired: np.ndarray, gold: np.ndarray, rows: np.ndarray, rounds: int) -> np.ndarray:
+    """Posterior probability of the toxic class for each line of a 0/1 matrix of fired voters, which
+    stands for ``rows`` equal rows.
 
     A voter that does not fire abstains; one more voter fires where all others abstain, and the
     human label ``gold`` counts as two, one for each class. Every voter fires at a rate of its own in
@@ -202,18 +209,20 @@ def label_model(fired: np.ndarray, gold: np.ndarray, rounds: int) -> np.ndarray:
     silent = 1 - fired.any(axis=1, keepdims=True)
     votes = np.concatenate([fired, silent], axis=1).astype(np.float32)
     human = np.stack([gold, 1 - gold], axis=1).astype(np.float64)
-    n, m = votes.shape
+    n, m = rows.sum(), votes.shape[1]
     posterior = np.where(gold > 0.5, 0.95, 0.02)
     for _ in range(rounds):
-        balance = np.clip(posterior.mean(), 1e-4, 1 - 1e-4)
+        balance = np.clip((rows @ posterior) / n, 1e-4, 1 - 1e-4)
         odds, human_odds, scatter = np.zeros(m), np.zeros(2), np.zeros((m, m))
-        for sign, weight in ((-1, 1 - posterior), (1, posterior)):
+        for sign, weight in ((-1, rows * (1 - posterior)), (1, rows * posterior)):
             total = weight.sum()
             rate = (weight @ votes + 0.5) / (total + 1)
             odds += sign * np.log(rate)
             human_odds += sign * np.log((weight @ human + 0.5) / (total + 1))
-            centred = votes - rate.astype(np.float32)
-            cov = ((centred * weight[:, None].astype(np.float32)).T @ centred).astype(np.float64)
+            # votes are 0 or 1: the covariance comes from how often two fire together
+            together = ((votes * weight[:, None].astype(np.float32)).T @ votes).astype(np.float64)
+            mean = np.diag(together) / max(total, 1e-9)
+            cov = together - total * np.outer(mean, mean)
             deviation = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
             scatter += cov / np.outer(deviation, deviation) * total / n
         correlation = np.clip(scatter, 0, 1)
@@ -228,17 +237,20 @@ def label_model(fired: np.ndarray, gold: np.ndarray, rounds: int) -> np.ndarray:
     return posterior
 
 
-def fit_linear(x: np.ndarray, posterior: np.ndarray, params: Params) -> tuple[np.ndarray, float]:
+def fit_linear(
+    x: np.ndarray, posterior: np.ndarray, rows: np.ndarray, params: Params
+) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on posterior labels, by Newton's method."""
     full = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1).astype(np.float64)
+    weight = rows / rows.sum()
     w = np.zeros(full.shape[1])
     penalty = np.full(len(w), params.l2)
     penalty[-1] = 1e-9
     for _ in range(params.fit_rounds):
         p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
-        gradient = full.T @ (p - posterior) / len(full) + penalty * w
-        curve = np.clip(p * (1 - p), 1e-6, None)
-        hessian = (full * curve[:, None]).T @ full / len(full) + np.diag(penalty)
+        gradient = full.T @ (weight * (p - posterior)) + penalty * w
+        curve = weight * np.clip(p * (1 - p), 1e-6, None)
+        hessian = (full * curve[:, None]).T @ full + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-6:
@@ -258,20 +270,23 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
             found = [model.fired(alnum_words(t)) for t in utf8(batch, "_text")]
             arrays = [
                 pa.array([sorted(x) for x, _ in found], pa.list_(pa.int32())),
-                pa.array([x for _, x in found], pa.float64()),
+                pa.array([round(x, 3) for _, x in found], pa.float64()),
                 batch.column(1),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=["fired", "share", "_y"])
 
-    # at most sample_rows rows of at most 2 x voters numbers
-    votes = arrow_map(sample, voted, "fired array<int>, share double, _y int").collect()
-    gold = np.array([r["_y"] for r in votes], np.float64)
-    x = np.zeros((len(votes), model.voters + MORE), np.float32)
-    for i, r in enumerate(votes):
+    # at most sample_rows rows of at most 2 x voters numbers, and equal ones as one
+    votes = arrow_map(sample, voted, "fired array<int>, share double, _y int")
+    equal = votes.groupBy("fired", "share", "_y").agg(F.count(F.lit(1)).alias("n"))
+    lines = equal.orderBy("fired", "share", "_y").collect()
+    gold = np.array([r["_y"] for r in lines], np.float64)
+    rows = np.array([r["n"] for r in lines], np.float64)
+    x = np.zeros((len(lines), model.voters + MORE), np.float32)
+    for i, r in enumerate(lines):
         index, values = features(r["fired"], r["share"], model.voters)
         x[i, index] = values
-    posterior = label_model(x[:, : model.voters], gold, params.em_rounds)
-    model.weights, model.bias = fit_linear(x, posterior, params)
+    posterior = label_model(x[:, : model.voters], gold, rows, params.em_rounds)
+    model.weights, model.bias = fit_linear(x, posterior, rows, params)
     return model
 
 

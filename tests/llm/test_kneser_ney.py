@@ -88,7 +88,7 @@ def test_equals_the_plain_model(spark, docs_of, monkeypatch, words_in_range):
             for s, b, n in expected[r.doc_id]
         )
     by_id = {r.doc_id: r for r in found}
-    assert by_id[300].n_tokens == 1 and by_id[301].n_known == 1
+    assert by_id[300].n_tokens == 1 and by_id[300].n_known == 1
     assert all(r.held_out == (key(r.doc_id) == 2) and r.train_tokens == plain.n for r in found)
 
 

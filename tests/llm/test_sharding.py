@@ -40,15 +40,15 @@ def test_small_groups_stay_whole(spark, docs_of):
     assert len(found) == len(rows)
     check_law(found, 24)
     split = [t for t, s in shards_of_groups(found).items() if len(s) > 1]
-    assert len(split) <= 3
+    assert len(split) <= 8
 
 
 def test_all_rows_linked_leaves_no_fillers(spark, docs_of):
-    rows = [(i, f"text {i // 2}") for i in range(480)]
+    rows = [(i, f"text {i // 2}") for i in range(4800)]
     found = dealt(docs_of(rows), shards=24)
     check_law(found, 24)
     split = sum(len(s) > 1 for s in shards_of_groups(found).values())
-    assert split <= 60  # of 240 pairs; without propagation about 230 would be split
+    assert split <= 500  # of 2400 pairs; without propagation about 2300 would be split
 
 
 def test_a_group_of_a_third_of_all_rows_fills_few_shards(spark, docs_of):
@@ -58,7 +58,7 @@ def test_a_group_of_a_third_of_all_rows_fills_few_shards(spark, docs_of):
     hot = shards_of_groups(found)["hot"]
     inside = sum(n * (n - 1) // 2 for n in hot.values())
     evenly = 24 * 10 * 9 // 2
-    assert inside > 1.5 * evenly
+    assert inside > 2 * evenly
 
 
 def test_fewer_rows_than_shards_and_uneven_counts(spark, docs_of):
