@@ -22,7 +22,7 @@ from clearshelf.functions.metrics import (
     wmape,
 )
 from clearshelf.functions.numeric import half_up, half_up_sql
-from clearshelf.functions.ordered import in_order, quantiles
+from clearshelf.functions.ordered import in_order, null_safe_join, quantiles
 from clearshelf.params import HORIZONS
 
 TARGET, FORECAST = "target", "predicted_sales"
@@ -53,7 +53,7 @@ def _with_median(
 ) -> DataFrame:
     median = quantiles(pred, by, ape(t, f), [0.5])
     if by:
-        return report.join(median.withColumnRenamed("q0", "median_ape"), list(by), "left")
+        return null_safe_join(report, median.withColumnRenamed("q0", "median_ape"), by, "left")
     return report.withColumn("median_ape", median.select("q0").scalar())
 
 
@@ -252,14 +252,15 @@ def error_quantiles(
     pred: DataFrame,
     *,
     by: str = "dept_nbr",
-    limit: float = 2.0,
+    limit: float | None = None,
     unit_range: tuple[float, float] = (-50.0, 50.0),
     bins: int = 20,
 ) -> DataFrame:
     """Data behind the error plots, in long form.
 
     ``ape_cdf`` overall (category -1) and per category: share of rows with an ape up to ``x``,
-    for each distinct ape up to ``limit``. ``unit_error``: rows per bin of the unit error.
+    for each distinct ape, up to ``limit`` if one is given (a plot may want it).
+    ``unit_error``: rows per bin of the unit error.
     """
     t, f = _pair(TARGET, FORECAST)
     known = (
@@ -272,9 +273,10 @@ def error_quantiles(
     counted = known.select(both, "x", "n").groupBy("category", "x").agg(F.sum("n").alias("n"))
     total = counted.groupBy("category").agg(F.sum("n").alias("total"))
     cdf = (
-        in_order(counted, ["category"], "x", weight=F.col("n"))
-        .join(total, "category")
-        .where(F.col("x") <= limit)
+        null_safe_join(
+            in_order(counted, ["category"], "x", weight=F.col("n")), total, ["category"], "inner"
+        )
+        .where(F.lit(True) if limit is None else F.col("x") <= limit)
         .select(
             F.lit("ape_cdf").alias("kind"),
             "category",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearshelf.functions.numeric import half_up
-from clearshelf.functions.ordered import quantiles
+from clearshelf.functions.ordered import null_safe_join, quantiles
 from clearshelf.operators.second_level import DISCOUNTS, WEEKLY_UNITS
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -77,6 +77,6 @@ def cap_by_bucket(
 ) -> DataFrame:
     """Cap predictions at the bucket's quantile times the weeks; unknown buckets stay uncapped."""
     cap = F.rint(F.col("quantile80") * F.col(weeks))
-    return pred.join(caps, bucket, "left").withColumn(
+    return null_safe_join(pred, caps, [bucket], "left").withColumn(
         value, F.when(F.col(value) > cap, cap).otherwise(F.col(value))
     )

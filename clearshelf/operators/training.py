@@ -23,11 +23,12 @@ MISSING = -999.0
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Boosting parameters. Depth is limited to 30 by Spark."""
+    """Boosting parameters, by default those of a production fit; a smaller fit is the caller's
+    choice. Depth is limited to 30 by Spark."""
 
-    trees: int = 20
-    depth: int = 5
-    rate: float = 0.1
+    trees: int = 600
+    depth: int = 20
+    rate: float = 0.04
     rows: float = 0.8
     columns: float = 0.6
     seed: int = 123

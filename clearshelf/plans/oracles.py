@@ -107,7 +107,7 @@ CTE["manual_executions"] = """
 SELECT item_nbr, club_nbr, visit_date AS md_start_date, visit_date + 35 AS md_end_date,
        sum(retail_price)::DOUBLE * 0.5::DOUBLE AS sp,
        CASE WHEN mds_fam_id % 3 = 0 THEN 'DS-1' ELSE 'EOL-1' END AS retail_reason_code
-FROM scan_by_club WHERE day(visit_date) % 7 = 1 GROUP BY mds_fam_id, item_nbr, club_nbr, visit_date"""
+FROM scan_by_club GROUP BY mds_fam_id, item_nbr, club_nbr, visit_date"""
 CTE["cart_event"] = """
 SELECT event_id, user_id AS member_id, ts::DATE AS date,
        CASE WHEN event_id % 2 = 0 THEN 'app' ELSE 'web' END AS channel,
@@ -141,7 +141,7 @@ CTE["manual_markdowns"] = f"""
 SELECT item_nbr, club_nbr, md_start_date AS markdown_start_date_dt,
        md_end_date AS markdown_end_date_dt, sp AS markdown_price_amt
 FROM manual_executions
-WHERE club_nbr NOT IN (6279) AND md_start_date >= {_d(D.max_eval_start)}
+WHERE club_nbr NOT IN (4) AND md_start_date >= {_d(D.max_eval_start)}
   AND retail_reason_code NOT LIKE '%DS%' AND retail_reason_code LIKE '%EOL%'"""
 CTE["plan_logs"] = f"""
 SELECT DISTINCT item_nbr, club_nbr, liquidation_price, expected_sale_units, current_retail_price,
@@ -785,7 +785,6 @@ CTE["error_quantiles"] = f"""
 SELECT DISTINCT 'ape_cdf' AS kind, category, {sql_round("x", 6)} AS x,
        {sql_round("y", 6)} AS y
 FROM (SELECT category, x, cume_dist() OVER (PARTITION BY category ORDER BY x) AS y FROM apes)
-WHERE x <= 2
 UNION ALL
 SELECT 'unit_error', -1, -50 + (bin - 1) * 5, count(*) FROM unit_errors GROUP BY bin"""
 

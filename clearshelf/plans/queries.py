@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -33,6 +34,8 @@ QUERIES: dict[str, Query] = {}
 
 GRID_WITH_DEEP = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 CSV_LIST = "0, 1, 2, 3"
+#: The registered queries fit small trees; the operator's defaults are those of a production fit.
+SMALL_FIT = tr.TreeParams(trees=20, depth=5, rate=0.1)
 INGRESS_TYPES = {"scan_id": "bigint", "visit_nbr": "int"}
 EGRESS_TYPES = {"parent_item_nbr": "int", "child_item_nbr": "int", "club_nbr": "int"}
 CHECKED_AT = datetime(2001, 11, 5, 7, 0, 0)
@@ -529,7 +532,9 @@ def _model(ws: Workspace):
             tr.encoded_features(train, ws.splits, covariates=sa.COVARIATES), "encoded"
         )
         parts = {s: encoded.where(F.col("split") == s) for s in ("train", "val")}
-        model = tr.train_model(parts["train"], parts["val"], covariates=sa.COVARIATES)
+        model = tr.train_model(
+            parts["train"], parts["val"], covariates=sa.COVARIATES, params=SMALL_FIT
+        )
         ws.__dict__["_fitted"] = (encoded, model)
     return ws.__dict__["_fitted"]
 
@@ -557,7 +562,7 @@ def tune_model(ws):
         covariates=sa.COVARIATES,
         rates=(0.1, 0.3),
         depths=(2, 4),
-        base=tr.TreeParams(trees=10),
+        base=dataclasses.replace(SMALL_FIT, trees=10),
     )
 
 

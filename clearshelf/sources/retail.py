@@ -15,13 +15,14 @@ CART_AS_OF = date(2024, 1, 29)
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 # The derived tables keep the whole ship-date range as history, and five departments, one of
-# which is outside the list.
+# which is outside the list; one club is left out of manual markdowns, so that its filter acts.
 PARAMS = Params(
     run_date=RUN_DATE,
     history_days=2520,
     departments=(0, 1, 2, 3),
     on_order_departments=(2,),
     excluded_subclasses=(9,),
+    excluded_clubs=(4,),
 )
 
 
@@ -178,20 +179,19 @@ class RetailTables:
         )
 
     def plan_header(self) -> DataFrame:
-        """One row per plan; a plan belongs to one item family and club."""
-        brands = self.item_master().select("mds_fam_id").distinct()
-        clubs = F.explode(F.sequence(F.lit(0), F.lit(4)))
-        return brands.select("mds_fam_id", clubs.alias("club_nbr")).select(
+        """One row per plan; a plan belongs to one item family and club that has scans."""
+        items = self.item_master().select("scan_id", "mds_fam_id")
+        pairs = self._scan_by_club(items).select("mds_fam_id", "club_nbr").distinct()
+        return pairs.select(
             (F.col("mds_fam_id") * 10 + F.col("club_nbr")).alias("plan_id"),
             (10 + (F.col("mds_fam_id") + F.col("club_nbr")) % 3).alias("plan_status_code"),
         )
 
     def manual_executions(self) -> DataFrame:
-        """Manually executed markdowns by item, club and day on the first day of each week of a month."""
+        """Manually executed markdowns by item, club and day."""
         items = self.item_master().select("scan_id", "mds_fam_id", "item_nbr")
         return (
             self._scan_by_club(items)
-            .where(F.dayofmonth("visit_date") % 7 == 1)
             .groupBy("mds_fam_id", "item_nbr", "club_nbr", "visit_date")
             .agg(F.sum("retail_price").cast("double").alias("amount"))
             .select(
