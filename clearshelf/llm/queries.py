@@ -123,5 +123,3 @@ QUERIES: dict[str, Query] = {
         op7_mixing, op8_simhash, op9_secrets, op10_kneser_ney,
     )
 }
-
-ORACLES: dict[str, str] = {}
