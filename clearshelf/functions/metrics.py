@@ -43,13 +43,16 @@ def mape(t: Column, f: Column, *, epsilon: bool = False) -> Column:
     return F.avg(ape(t, f))
 
 
-def accuracy_columns(t: Column, f: Column) -> dict[str, Column]:
-    """Single-pass accuracy metrics; the median is added by ``ordered.quantiles``."""
+def accuracy_columns(t: Column, f: Column, *, epsilon: bool = False) -> dict[str, Column]:
+    """Single-pass accuracy metrics; the median is added by ``ordered.quantiles``.
+
+    ``epsilon`` chooses the form of the mape.
+    """
     return {
         "bias": bias(t, f),
         "mae": F.avg(F.abs(f - t)),
         "rmse": rmse(t, f),
-        "mape": mape(t, f),
+        "mape": mape(t, f, epsilon=epsilon),
         "smape": smape(t, f),
         "weighted_mape": wmape(t, f),
     }

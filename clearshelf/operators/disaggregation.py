@@ -40,19 +40,22 @@ def disagg_raw_weights(
     )
 
 
-def _ordered_caps(weights: DataFrame) -> DataFrame:
-    """Distinct caps of a group with their weight, position, next cap and running weight."""
+def ordered_caps(weights: DataFrame) -> DataFrame:
+    """Distinct caps of a group with their weight, position, next cap and running weight.
+
+    The steps below take this table as ``caps``; a caller that runs several of them stores it once.
+    """
     per_cap = weights.groupBy(*GROUP, "inv_cap").agg(
         F.sum(F.col("weights").cast("decimal(38,18)")).alias("cap_weight")
     )
     return in_order(per_cap, GROUP, "inv_cap", weight=F.col("cap_weight"))
 
 
-def disagg_scenarios(weights: DataFrame) -> DataFrame:
+def disagg_scenarios(weights: DataFrame, *, caps: DataFrame | None = None) -> DataFrame:
     """Consecutive pairs of distinct caps, numbered upwards; the largest cap starts no scenario."""
+    caps = ordered_caps(weights) if caps is None else caps
     return (
-        _ordered_caps(weights)
-        .where(F.col("_next").isNotNull())
+        caps.where(F.col("_next").isNotNull())
         .select(
             *GROUP,
             F.col("inv_cap").alias("inv_min"),
@@ -62,14 +65,17 @@ def disagg_scenarios(weights: DataFrame) -> DataFrame:
     )
 
 
-def disagg_flags(weights: DataFrame, scenarios: DataFrame) -> DataFrame:
+def disagg_flags(
+    weights: DataFrame, scenarios: DataFrame, *, caps: DataFrame | None = None
+) -> DataFrame:
     """Each child in each scenario of its group; flag 0 when its cap reaches the scenario.
 
     The table has children x scenarios rows by definition. A child reaches exactly the scenarios
     before its cap's position, so its rows are counted out from that position; the only join is
     on the single scenario, which spreads a large group over all tasks.
     """
-    place = _ordered_caps(weights).select(*GROUP, "inv_cap", "_position", "_count")
+    caps = ordered_caps(weights) if caps is None else caps
+    place = caps.select(*GROUP, "inv_cap", "_position", "_count")
     every = F.explode(F.sequence(F.lit(1), F.col("_count") - 1))
     return (
         weights.join(place, [*GROUP, "inv_cap"])
@@ -81,32 +87,27 @@ def disagg_flags(weights: DataFrame, scenarios: DataFrame) -> DataFrame:
     )
 
 
-def _scenario_totals(weights: DataFrame) -> DataFrame:
+def _scenario_totals(caps: DataFrame) -> DataFrame:
     """Weight reached in each scenario: all weight but that of the caps up to its lower end.
 
     Taken over the distinct caps, so its cost follows the number of children and not the number
     of child-scenario rows.
     """
-    whole = weights.groupBy(*GROUP).agg(
-        F.sum(F.col("weights").cast("decimal(38,18)")).alias("all_weight")
-    )
+    whole = caps.groupBy(*GROUP).agg(F.sum("cap_weight").alias("all_weight"))
     reached = (F.col("all_weight") - F.col("_running")).cast("double")
-    return (
-        _ordered_caps(weights)
-        .join(whole, list(GROUP))
-        .select(
-            *GROUP,
-            F.col("_position").alias("scenario"),
-            reached.alias("total_scenario_weights"),
-        )
+    return caps.join(whole, list(GROUP)).select(
+        *GROUP, F.col("_position").alias("scenario"), reached.alias("total_scenario_weights")
     )
 
 
-def disagg_final(weights: DataFrame, scenarios: DataFrame) -> DataFrame:
+def disagg_final(
+    weights: DataFrame, scenarios: DataFrame, *, caps: DataFrame | None = None
+) -> DataFrame:
     """Weights of the reached children, normalised within the scenario."""
-    totals = scenarios.join(_scenario_totals(weights), [*GROUP, "scenario"])
+    caps = ordered_caps(weights) if caps is None else caps
+    totals = scenarios.join(_scenario_totals(caps), [*GROUP, "scenario"])
     reached = F.col("scenario_flag") == 0
-    return disagg_flags(weights, totals).withColumn(
+    return disagg_flags(weights, totals, caps=caps).withColumn(
         "final_weights",
         F.when(
             reached, F.try_divide(F.col("weights"), F.col("total_scenario_weights"))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearshelf.functions.numeric import hundredths
-from clearshelf.sources.tables import stage
 
 
 def cast_columns(
@@ -46,16 +45,29 @@ def target_prior(train: DataFrame, *, target: str) -> DataFrame:
 
 
 def target_encode(
-    train: DataFrame, other: DataFrame, *, cols: Sequence[str], target: str
+    train: DataFrame,
+    other: DataFrame,
+    *,
+    cols: Sequence[str],
+    target: str,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Replace the category columns of ``other`` by codes fitted on ``train``:
     (sum of target + prior) / (rows + 1), and the prior for a category not seen there.
 
-    The codes are written out first: the planner then knows their size and, while they are
-    small, joins them without moving the rows of ``other``.
+    ``codes`` is the stored table of ``category_codes``, if there is one: the planner then knows
+    its size and, while it is small, joins it without moving the rows of ``other``.
     """
-    codes = stage(category_codes(train, cols=cols, target=target), "category_codes")
-    encoded = other.withColumn("_prior", target_prior(train, target=target).scalar())
+    if codes is None:
+        codes = category_codes(train, cols=cols, target=target)
+    return apply_codes(codes, target_prior(train, target=target), other, cols=cols)
+
+
+def apply_codes(
+    codes: DataFrame, prior: DataFrame, other: DataFrame, *, cols: Sequence[str]
+) -> DataFrame:
+    """Replace the category columns of any set of rows by fitted codes."""
+    encoded = other.withColumn("_prior", prior.select("prior").scalar())
     for c in cols:
         own = codes.where(F.col("column") == c).drop("column")
         code = F.coalesce(

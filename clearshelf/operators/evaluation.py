@@ -64,11 +64,15 @@ def metrics_overall(
     target: str = TARGET,
     forecast: str = FORECAST,
     digits: int = 4,
+    mape_epsilon: bool = False,
 ) -> DataFrame:
-    """bias, mae, rmse, mape, smape, wmape and median ape, with the rows and zero actuals behind them."""
+    """bias, mae, rmse, mape, smape, wmape and median ape, with the rows and zero actuals behind them.
+
+    With ``mape_epsilon`` zero actuals count in the mape with the smallest denominator.
+    """
     t, f = _pair(target, forecast)
     columns = {"n_samples": F.count("*"), "n_zero_actuals": F.count_if(t == 0)}
-    report = _report(pred, by, {**columns, **accuracy_columns(t, f)})
+    report = _report(pred, by, {**columns, **accuracy_columns(t, f, epsilon=mape_epsilon)})
     return _rounded(_with_median(report, pred, by, t, f), by, digits)
 
 
@@ -85,13 +89,26 @@ def metrics_over_under(
     return _rounded(_report(pred, by, {**over_columns(t, f), **under_columns(t, f)}), by, digits)
 
 
-def metrics_train_val_test(pred: DataFrame) -> DataFrame:
-    """Accuracy and over-estimation per split."""
+def _model_metrics(
+    pred: DataFrame, by: Sequence[str], digits: int, mape_epsilon: bool
+) -> DataFrame:
     t, f = _pair(TARGET, FORECAST)
-    columns = {"n_samples": F.count("*"), **accuracy_columns(t, f), **over_columns(t, f)}
+    accuracy = accuracy_columns(t, f, epsilon=mape_epsilon)
+    columns = {"n_samples": F.count("*"), **accuracy, **over_columns(t, f)}
     columns.pop("bias")
-    report = _with_median(_report(pred, ["split"], columns), pred, ["split"], t, f)
-    return _rounded(report, ["split"], 4)
+    return _rounded(_with_median(_report(pred, by, columns), pred, by, t, f), by, digits)
+
+
+def metrics_train_val_test(
+    pred: DataFrame, *, digits: int = 4, mape_epsilon: bool = False
+) -> DataFrame:
+    """Accuracy and over-estimation per split."""
+    return _model_metrics(pred, ["split"], digits, mape_epsilon)
+
+
+def metrics_test(pred: DataFrame, *, digits: int = 2, mape_epsilon: bool = False) -> DataFrame:
+    """The same of a single test set, rounded for the metric map of a model."""
+    return _model_metrics(pred, [], digits, mape_epsilon)
 
 
 def _per_horizon(name: str, metric, t: Column, f: Column) -> dict[str, Column]:
@@ -123,7 +140,9 @@ def weekly_decumulate(pred: DataFrame) -> DataFrame:
     )
 
 
-def metrics_weekly(weekly: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+def metrics_weekly(
+    weekly: DataFrame, *, by: Sequence[str] = (), mape_epsilon: bool = False
+) -> DataFrame:
     """The full metric set on weekly values, with wmape, bias and row count per horizon."""
     t, f = _pair("target_weekly", "predicted_sales_weekly")
     counts = {
@@ -131,7 +150,7 @@ def metrics_weekly(weekly: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
         for k in range(1, HORIZONS + 1)
     }
     columns = {
-        **accuracy_columns(t, f),
+        **accuracy_columns(t, f, epsilon=mape_epsilon),
         **over_columns(t, f),
         **under_columns(t, f),
         **_per_horizon("weekly_eval_wmape", wmape, t, f),

@@ -211,7 +211,8 @@ def _evaluated(samples: DataFrame, *, end: date) -> DataFrame:
     return first_week_of_target(horizon_matured(open_horizon, end=end))
 
 
-def _planned(panel: DataFrame, plan_logs: DataFrame, *, dates: RunDates) -> DataFrame:
+def planned_samples(panel: DataFrame, plan_logs: DataFrame, *, dates: RunDates) -> DataFrame:
+    """Samples of planned markdowns over the last year; both planned sets are cut from them."""
     recent = sample_calendar(panel.where(F.col("date") >= _day(dates.max_eval_start)))
     priced = (
         recent.join(plan_logs, ["item_nbr", "club_nbr", "date"])
@@ -228,22 +229,17 @@ def _planned(panel: DataFrame, plan_logs: DataFrame, *, dates: RunDates) -> Data
     return any_future_sales(_evaluated(samples, end=dates.test[1]))
 
 
-def eval_planned(panel: DataFrame, plan_logs: DataFrame, *, dates: RunDates) -> DataFrame:
-    """Evaluation samples of planned markdowns in the recent window."""
-    return _planned(panel, plan_logs, dates=dates).where(
-        F.col("date").between(_day(dates.eval_start), _day(dates.test[1]))
-    )
+def eval_planned(samples: DataFrame, *, dates: RunDates) -> DataFrame:
+    """The planned samples of the recent window, for evaluation."""
+    return samples.where(F.col("date").between(_day(dates.eval_start), _day(dates.test[1])))
 
 
-def eval_planned_complete(panel: DataFrame, plan_logs: DataFrame, *, dates: RunDates) -> DataFrame:
-    """Targets of planned markdowns over the last year."""
-    return (
-        _planned(panel, plan_logs, dates=dates)
-        .where(F.col("date").between(_day(dates.max_eval_start), _day(dates.test[1])))
-        .select(
-            "mds_fam_id", "item_nbr", "club_nbr", "date", "num_weeks", "markdown_start_date_dt",
-            "oos_date", "target", "week_target",
-        )
+def eval_planned_complete(samples: DataFrame, *, dates: RunDates) -> DataFrame:
+    """Targets of all planned samples."""
+    year = F.col("date").between(_day(dates.max_eval_start), _day(dates.test[1]))
+    return samples.where(year).select(
+        "mds_fam_id", "item_nbr", "club_nbr", "date", "num_weeks", "markdown_start_date_dt",
+        "oos_date", "target", "week_target",
     )
 
 

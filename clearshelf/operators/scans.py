@@ -30,12 +30,19 @@ def scan_sales(
     excluded_subtypes: Sequence[int],
     visit_keys: Sequence[str] = ("visit_nbr",),
 ) -> DataFrame:
-    """Regular till scans of retail stores in a closed date range, without booked pick-ups."""
+    """Regular till scans of retail stores in a closed date range, without booked pick-ups.
+
+    With ``visit_date`` among ``visit_keys`` (a visit number may start anew by store and day) the
+    date range bounds the scan of the visits too.
+    """
     stores = store_info.where(~F.col("store_type").isin(*excluded_store_types))
     visits = visit.where(~F.col("visit_subtype_code").isin(*excluded_subtypes))
+    in_range = F.col("visit_date").between(_day(start), _day(end))
+    if "visit_date" in visit_keys:
+        visits = visits.where(in_range)
     return (
         scan.where(F.col("scan_type") == 0)
-        .where(F.col("visit_date").between(_day(start), _day(end)))
+        .where(in_range)
         .join(stores.select("store_nbr", "club_nbr"), "store_nbr")
         .join(visits.select(*visit_keys), list(visit_keys))
         .select("club_nbr", "store_nbr", "scan_id", "visit_date", "unit_qty", "retail_price")

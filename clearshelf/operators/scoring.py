@@ -22,11 +22,6 @@ def closed_form_scorer(samples: DataFrame) -> DataFrame:
     return samples.withColumn("prediction", F.col(WEEKLY_UNITS) * F.col("num_weeks") * lift)
 
 
-def model_scorer(model) -> Scorer:
-    """A fitted Spark ML model as a scorer."""
-    return model.transform
-
-
 def score_sales(
     samples: DataFrame, scorer: Scorer, *, inventory_col: str | None = None
 ) -> DataFrame:
@@ -57,7 +52,7 @@ def monotone_envelope(
     """Raise predictions to the running maximum along the discount grid.
 
     Tree ensembles here cannot be constrained, so the non-decreasing response is imposed on the
-    few grid points of each sample instead.
+    few grid points of each sample instead. Ordered by the horizon, it does the same for ``num_weeks``.
     """
     rising = (
         Window.partitionBy(*by)

@@ -21,7 +21,6 @@ from clearshelf.params import (
     WEEK_UNITS_FLOOR,
     WEEKLY_UNITS_FLOOR,
 )
-from clearshelf.sources.tables import stage
 
 BACK = range(1, BACK_WEEKS + 1)
 NEXT = range(1, HORIZONS + 1)
@@ -289,13 +288,14 @@ def subclass_month_share(panel: DataFrame) -> DataFrame:
     return _attach(with_us_calendar(panel), rollup, ("subclass_nbr", "year", "month"))
 
 
-def year_over_year(panel: DataFrame) -> DataFrame:
+def year_over_year(panel: DataFrame, *, summary: DataFrame | None = None) -> DataFrame:
     """All five rollups at once.
 
     They are joined to the narrow weekly summary first, so the wide panel takes part in a single
-    join on the entity and its week however large the rollups are.
+    join on the entity and its week however large the rollups are. ``summary`` is the stored
+    ``weekly_summary`` of the panel, if there is one.
     """
-    summary = stage(weekly_summary(panel), "weekly_summary")
+    summary = weekly_summary(panel) if summary is None else summary
     lookup = summary.select(*ENTITY, *WEEK, "month").distinct()
     for rollup, keys in (
         (subclass_club_rollup(summary), (*SUBCLASS_CLUB, *WEEK)),
@@ -379,14 +379,19 @@ def conform_schema(
 
 
 def second_level_features(
-    first_level: DataFrame, *, run_ts: datetime, with_half_year: bool = True
+    first_level: DataFrame,
+    *,
+    run_ts: datetime,
+    with_half_year: bool = True,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
-    """The whole second level. ``with_half_year`` is off when the panel already has those columns."""
+    """The whole second level. ``with_half_year`` is off when the panel already has those columns;
+    ``summary`` is the stored weekly summary, if there is one."""
     panel = weekly_discount(audit_columns(first_level, run_ts=run_ts))
     if with_half_year:
         panel = half_year_stats(panel)
     panel = price_units_ratio(impute_features(row_extremes(panel)))
-    panel = units_wow_change(year_over_year(panel))
+    panel = units_wow_change(year_over_year(panel, summary=summary))
     return conform_schema(panel, schema=second_level_types(), drop=WORK_COLUMNS)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import random
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from itertools import product
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearshelf.functions.numeric import finite
-from clearshelf.operators.encoding import target_encode
+from clearshelf.operators.encoding import apply_codes, category_codes, target_prior
 
 # The encoded categories.
 ENCODED = ("club_nbr", "department_nbr", "subclass_nbr", "week", "month")
@@ -31,19 +32,56 @@ class TreeParams:
     rate: float = 0.04
     rows: float = 0.8
     columns: float = 0.6
+    #: Boosting stops when the error on the validation rows falls by less than this.
+    tolerance: float = 0.01
     seed: int = 123
 
 
-def encoded_features(
-    train: DataFrame, other: DataFrame, *, covariates: Sequence[str], target: str = "target"
-) -> DataFrame:
-    """Encoded, finite covariates of ``other``, with a sentinel for what is missing."""
+@dataclass(frozen=True)
+class Encoder:
+    """Codes and prior fitted on training rows, for any set of rows that is to be scored."""
+
+    codes: DataFrame
+    prior: DataFrame
+    covariates: tuple[str, ...]
+
+    def encode(self, rows: DataFrame) -> DataFrame:
+        """Encoded, finite covariates, with a sentinel for what is missing."""
+        cols = [c for c in ENCODED if c in self.covariates]
+        encoded = apply_codes(self.codes, self.prior, rows, cols=cols)
+        filled = {
+            c: F.coalesce(finite(F.col(c).cast("double")), F.lit(MISSING)) for c in self.covariates
+        }
+        return encoded.withColumns(filled)
+
+
+def fit_encoder(
+    train: DataFrame,
+    *,
+    covariates: Sequence[str],
+    target: str = "target",
+    store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+) -> Encoder:
+    """``store`` may write the few codes out and read them back: the planner then knows their size."""
     cols = [c for c in ENCODED if c in covariates]
-    encoded = target_encode(train, other, cols=cols, target=target)
-    filled = {
-        c: F.coalesce(finite(F.col(c).cast("double")), F.lit(MISSING)) for c in covariates
-    }
-    return encoded.withColumns(filled)
+    codes = store(category_codes(train, cols=cols, target=target), "category_codes")
+    prior = store(target_prior(train, target=target), "prior")
+    return Encoder(codes, prior, tuple(covariates))
+
+
+@dataclass(frozen=True)
+class DemandModel:
+    """Encoder and trees: a scorer for rows that hold the covariates as they are."""
+
+    encoder: Encoder
+    trees: PipelineModel
+
+    def __call__(self, samples: DataFrame) -> DataFrame:
+        """``samples`` with ``prediction``; their own columns stay as they were."""
+        own = F.struct(*[samples[f"`{c}`"] for c in samples.columns]).alias("_own")
+        rows = samples.select(own, *self.encoder.covariates)
+        scored = self.trees.transform(self.encoder.encode(rows))
+        return scored.select("_own.*", "prediction")
 
 
 def train_model(
@@ -69,6 +107,7 @@ def train_model(
         labelCol=target,
         predictionCol="prediction",
         validationIndicatorCol="is_val",
+        validationTol=params.tolerance,
         maxIter=params.trees,
         maxDepth=params.depth,
         stepSize=params.rate,
@@ -87,19 +126,33 @@ def tune_model(
     covariates: Sequence[str],
     rates: Sequence[float],
     depths: Sequence[int],
+    rows: Sequence[float] | None = None,
+    columns: Sequence[float] | None = None,
+    trials: int | None = None,
     base: TreeParams = TreeParams(),
     target: str = "target",
 ) -> DataFrame:
-    """Validation MAE of every parameter pair, best first; one distributed fit per pair."""
+    """Validation MAE of parameter settings, best first; one distributed fit per setting.
+
+    The grid spans learning rate, depth and the shares of rows and columns of a tree. ``trials``
+    draws that many settings of the grid at random, by the seed of ``base``.
+    """
+    grid = list(product(rates, depths, rows or (base.rows,), columns or (base.columns,)))
+    if trials is not None and trials < len(grid):
+        grid = random.Random(base.seed).sample(grid, trials)
     spark: SparkSession = train.sparkSession
     mae = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="mae")
-    trials = []
-    for rate, depth in product(rates, depths):
-        params = replace(base, rate=rate, depth=depth)
+    done = []
+    for rate, depth, row_share, column_share in grid:
+        params = replace(base, rate=rate, depth=depth, rows=row_share, columns=column_share)
         model = train_model(train, val, covariates=covariates, params=params, target=target)
-        trials.append((rate, depth, float(mae.evaluate(model.transform(val)))))
-    trials.sort(key=lambda t: t[2])
-    return spark.createDataFrame(trials, "learning_rate double, max_depth int, val_mae double")
+        error = float(mae.evaluate(model.transform(val)))
+        done.append((rate, depth, row_share, column_share, error))
+    done.sort(key=lambda t: t[-1])
+    return spark.createDataFrame(
+        done,
+        "learning_rate double, max_depth int, row_share double, column_share double, val_mae double",
+    )
 
 
 def feature_importance(model: PipelineModel, *, covariates: Sequence[str]) -> DataFrame:

@@ -126,6 +126,9 @@ DQ = [
     "unexpected_percent", "observed_type:s",
 ]
 
+ERRORS = ["n_samples:l", "rmse", "wmape", "smape", "oep_sample", "oe_value", "oep_total"]
+RESULT_RUN = ["metric_target:s", "eval_set_start_date:t"]
+
 COLUMNS: dict[str, list[str]] = {
     "scan_sales": [
         "club_nbr:i", "store_nbr:l", "scan_id:l", "visit_date:t", "unit_qty", "retail_price",
@@ -161,6 +164,14 @@ COLUMNS: dict[str, list[str]] = {
         "unit_price_amt", "markdown_start_date_dt:t", "oos_date:t", "num_weeks", "target",
         "predicted_sales", "run_date:s",
     ],
+    "append_category_results": [
+        *ERRORS, "dept_nbr:i", *RESULT_RUN, "description:s", "run_date:s",
+    ],
+    "append_horizon_results": [
+        "n_samples:l", "wmape", "wmape_weekly", "num_weeks:i", "metric_target:s", "weekly_bias",
+        "eval_set_start_date:t", "run_date:s",
+    ],
+    "append_overall_results": [*ERRORS, *RESULT_RUN, "run_date:s"],
     "dataset_profile": ["dataset:s", "min_date:t", "max_date:t", "n_rows:l"],
     "fill_sentinel": [*SAMPLE_ROW, "department_nbr:i"],
     "category_description": ["dept_nbr:i", "n_samples:l", "description:s"],
@@ -242,19 +253,28 @@ COLUMNS: dict[str, list[str]] = {
     "dq_not_null": DQ,
     "dq_type": DQ,
     "dq_report": ["utc_time:s", *DQ],
+    "dq_log": ["utc_time:s", *DQ],
     "cast_columns": [
         "dept_text:s", "start_date:t", "price",
     ],
     "target_encode": ["split:s", "mds_fam_id:i", "date:t", "num_weeks:i", "target", *ENCODED_ROW],
     "train_model": ["split:s", "n_rows:l", "model_mae", "mean_mae"],
-    "tune_model": ["learning_rate", "max_depth:i", "val_mae"],
+    "tune_model": ["learning_rate", "max_depth:i", "row_share", "column_share", "val_mae"],
     "monotone_envelope": [*GRID_ROW, "predicted_sale", "monotone_predicted_sale"],
     "feature_importance": ["covariate:s", "importance"],
+    "score_fitted": ["dataset:s", *SAMPLE_ROW, "inventory_qty", "predicted_sales"],
+    "score_fitted_checks": [
+        "dataset:s", "n_rows:l", "key_sum:l", "target_sum", "n_negative:l", "n_above_stock:l",
+        "n_falling:l",
+    ],
+    "grid_fitted_checks": ["n_rows:l", "n_negative:l", "n_falling:l", "n_below_own:l"],
+    "model_checks": ["fact:s", "value:l"],
     "score_sales": PREDICTED,
     "cap_by_bucket": [*SAMPLE_ROW, "bucket:i", "quantile80", "predicted_sales"],
     "metrics_overall": ["n_samples:l", "n_zero_actuals:l", *ACCURACY],
     "metrics_over_under": [*OVER, *UNDER],
     "metrics_train_val_test": ["split:s", "n_samples:l", *ACCURACY[1:], *OVER],
+    "metrics_test": ["n_samples:l", *ACCURACY[1:], *OVER],
     "metrics_by_horizon": [f"cumul_eval_wmape_nw_{k}" for k in NEXT],
     "weekly_decumulate": [*SAMPLE_ROW, "predicted_sales", "target_weekly", "predicted_sales_weekly"],
     "metrics_weekly": [
@@ -296,3 +316,5 @@ COLUMNS: dict[str, list[str]] = {
     ],
     "cart_ratios": ["item_nbr:i", "app_clicks:l", "web_clicks:l", "app_share"],
 }
+for _name in ("first_level_features", "second_level_features", "eval_manual"):
+    COLUMNS[f"{_name}_fine"] = COLUMNS[_name]

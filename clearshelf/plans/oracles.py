@@ -368,7 +368,13 @@ SELECT * FROM discount_weight
 QUALIFY row_number() OVER (
   PARTITION BY mds_fam_id, club_nbr, month, year
   ORDER BY weights DESC, date, item_on_shelf_date_dt NULLS LAST) = 1"""
-CTE["top1_item_club_month"] = "SELECT * FROM initial_filter"
+_LATE = "coalesce({}.item_on_shelf_date_dt, DATE '9999-12-31')"
+CTE["top1_item_club_month"] = f"""
+SELECT d.* FROM discount_weight d WHERE NOT EXISTS (
+  SELECT 1 FROM discount_weight o
+  WHERE o.mds_fam_id = d.mds_fam_id AND o.club_nbr = d.club_nbr AND o.month = d.month
+    AND o.year = d.year AND (o.weights > d.weights OR (o.weights = d.weights AND (
+      o.date < d.date OR (o.date = d.date AND {_LATE.format("o")} < {_LATE.format("d")})))))"""
 
 
 def _copies(source: str, extra=lambda n: "") -> str:
@@ -588,6 +594,8 @@ SELECT '2001-11-05 07:00:00' AS utc_time, * FROM ({" UNION ALL ".join([
     _not_null("disagg_raw_weights", [c for c, _, _ in _WEIGHT_TYPES]),
     _types("disagg_raw_weights", _WEIGHT_TYPES)])})"""
 
+CTE["dq_log"] = "SELECT * FROM dq_report"
+
 # --- encoding, scoring ----------------------------------------------------------------------
 
 CTE["cast_columns"] = """
@@ -688,6 +696,7 @@ CTE["metrics_overall"] = _rounded(_OVERALL, 4, "manual_pred")
 CTE["metrics_over_under"] = _rounded(_both_sides(T_, F_), 4, "manual_pred")
 _SPLIT = {"n_samples": "count(*)", **_accuracy(T_, F_), **_side(T_, F_, ">", "overestimation")}
 CTE["metrics_train_val_test"] = _rounded(_SPLIT, 4, "split_pred", "split")
+CTE["metrics_test"] = _rounded(_SPLIT, 2, "test_pred")
 
 
 def _horizon(t: str, f: str, k: int) -> tuple[str, str]:
@@ -764,15 +773,14 @@ def _long(source: str, prefix: str, suffix: str, cols: dict[str, str]) -> str:
     )
 
 
-CTE["test_overall"] = _rounded(_OVERALL, 4, "test_pred")
 CTE["planned_overall"] = _rounded(_OVERALL, 4, "planned_pred")
 CTE["test_sides"] = _rounded(_both_sides(T_, F_), 4, "test_pred")
 CTE["combine_metrics"] = " UNION ALL ".join(
     [
-        _long("test_overall", "test_", "", _OVERALL),
+        _long("metrics_test", "test_", "", {k: v for k, v in _SPLIT.items() if k != "bias"}),
         _long("planned_overall", "cumul_eval_", "_logs", _OVERALL),
         _long("metrics_overall", "cumul_eval_", "_manual", _OVERALL),
-        _long("test_sides", "test_", "", _both_sides(T_, F_)),
+        _long("test_sides", "test_", "", _side(T_, F_, "<", "underestimation")),
     ]
 )
 CTE["apes"] = """
@@ -937,22 +945,57 @@ CTE["append_results"] = " UNION ALL ".join(
     for source in ("manual_pred", "planned_pred")
 )
 
-ROWS_ONLY = ("train_model", "tune_model", "feature_importance")
+for _name in ("category", "horizon", "overall"):
+    _source = "error_overall" if _name == "overall" else f"error_by_{_name}"
+    CTE[f"append_{_name}_results"] = (
+        f"SELECT *, '{PARAMS.run_date.isoformat()}' AS run_date FROM {_source}"
+    )
+
+# --- facts about the fitted model -----------------------------------------------------------
+
+CTE["score_fitted_checks"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS dataset, count(*) AS n_rows,
+       sum(mds_fam_id * 100000 + club_nbr * 10000 + (date - DATE '1992-01-01') + num_weeks) AS key_sum,
+       sum(target::DECIMAL(18,2))::DOUBLE AS target_sum, 0 AS n_negative, 0 AS n_above_stock,
+       0 AS n_falling FROM {source}"""
+    for name, source in (("test", "test_set"), ("planned", "eval_planned"), ("manual", "eval_manual"))
+)
+CTE["grid_fitted_checks"] = """
+SELECT count(*) AS n_rows, 0 AS n_negative, 0 AS n_falling, 0 AS n_below_own FROM discount_grid"""
+CTE["model_checks"] = f"""
+SELECT 'train_rows' AS fact, count(*) AS value FROM train_set
+UNION ALL SELECT 'val_rows', count(*) FROM val_set
+UNION ALL VALUES ('beats_mean_on_train', 1), ('trials', 4), ('trials_with_error', 4),
+  ('covariates', {len(COVARIATES)}), ('importance_total', 1)"""
+
+#: Keys that grow with the data: an item is a part, a club is a nation.
+FINE = {
+    **CTE,
+    "item_master": CTE["item_master"].replace(
+        f"{BRAND} AS mds_fam_id, 1000 + {BRAND} AS item_nbr",
+        "p_partkey::INTEGER AS mds_fam_id, (1000 + p_partkey)::INTEGER AS item_nbr",
+    ),
+    "store_info": CTE["store_info"].replace("n_regionkey AS", "n_nationkey AS"),
+}
+
+ROWS_ONLY = ("train_model", "tune_model", "feature_importance", "score_fitted")
 
 
-def _needed(name: str, seen: dict[str, None]) -> None:
+def _needed(name: str, seen: dict[str, None], tables: dict[str, str]) -> None:
     """Collect the tables an expression refers to, each after those it needs itself."""
-    for other in re.findall(r"(?:FROM|JOIN|,)\s+([a-z_0-9]+)", CTE[name]):
-        if other in CTE and other != name and other not in seen:
-            _needed(other, seen)
+    for other in re.findall(r"(?:FROM|JOIN|,)\s+([a-z_0-9]+)", tables[name]):
+        if other in tables and other != name and other not in seen:
+            _needed(other, seen, tables)
     seen[name] = None
 
 
 def oracle(name: str) -> str:
+    tables = FINE if name.endswith("_fine") else CTE
+    source = name.removesuffix("_fine")
     seen: dict[str, None] = {}
-    _needed(name, seen)
-    tables = ",\n".join(f"{n} AS ({CTE[n].strip()})" for n in seen)
-    return f"WITH {tables}\n{sql_present(COLUMNS[name], name)}"
+    _needed(source, seen, tables)
+    text = ",\n".join(f"{n} AS ({tables[n].strip()})" for n in seen)
+    return f"WITH {text}\n{sql_present(COLUMNS[name], source)}"
 
 
 def oracles() -> dict[str, str]:

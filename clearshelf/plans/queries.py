@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import dataclasses
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,16 +58,34 @@ RESULT_SCHEMA = T.StructType(
 )
 
 
+def _result_schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+_LONG, _INT, _DOUBLE = T.LongType(), T.IntegerType(), T.DoubleType()
+_TEXT, _DATE = T.StringType(), T.DateType()
+_ERRORS = {
+    "n_samples": _LONG, "rmse": _DOUBLE, "wmape": _DOUBLE, "smape": _DOUBLE,
+    "oep_sample": _DOUBLE, "oe_value": _DOUBLE, "oep_total": _DOUBLE,
+}
+CATEGORY_RESULTS = _result_schema(
+    **_ERRORS, dept_nbr=_INT, metric_target=_TEXT, eval_set_start_date=_DATE, description=_TEXT,
+    run_date=_TEXT,
+)
+OVERALL_RESULTS = _result_schema(
+    **_ERRORS, metric_target=_TEXT, eval_set_start_date=_DATE, run_date=_TEXT
+)
+HORIZON_RESULTS = _result_schema(
+    n_samples=_LONG, wmape=_DOUBLE, wmape_weekly=_DOUBLE, num_weeks=_INT, metric_target=_TEXT,
+    weekly_bias=_DOUBLE, eval_set_start_date=_DATE, run_date=_TEXT,
+)
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
 
 
-def _fresh_path(ws: Workspace, name: str) -> str:
-    app = ws.spark.sparkContext.applicationId
-    return f"{tb.shared_folder(ws.spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 # --- scans, sources, sinks ------------------------------------------------------------------
 
 
@@ -129,7 +146,7 @@ def disagg_input(ws):
 
 @query
 def read_table(ws):
-    path = _fresh_path(ws, "read_table")
+    path = ws.path("read_table")
     tb.write_table(ws.panel, path)
     return tb.read_table(
         ws.spark,
@@ -141,7 +158,7 @@ def read_table(ws):
 
 @query
 def write_table(ws):
-    path = _fresh_path(ws, "write_table")
+    path = ws.path("write_table")
     rows = ws.panel.select("club_nbr", "mds_fam_id", "date", "unit_sold_cnt")
     tb.write_table(rows, path, mode="overwrite", format="orc")
     return tb.read_table(ws.spark, path, format="orc")
@@ -155,7 +172,7 @@ def _five_sets(ws: Workspace) -> dict[str, DataFrame]:
 @query
 def extract_parquet(ws):
     columns = ["mds_fam_id", "item_nbr", "club_nbr", "date", "num_weeks", "target"]
-    paths = tb.extract_parquet(_five_sets(ws), _fresh_path(ws, "extract"))
+    paths = tb.extract_parquet(_five_sets(ws), ws.path("extract"))
     parts = [
         ws.spark.read.parquet(path).select(F.lit(name).alias("dataset"), *columns)
         for name, path in paths.items()
@@ -168,12 +185,33 @@ def extract_parquet(ws):
 
 @query
 def append_results(ws):
-    path = _fresh_path(ws, "results")
+    path = ws.path("results")
     for frame in (ws.manual_predictions(), ws.planned_predictions()):
         tb.append_results(frame, path, schema=RESULT_SCHEMA, run_date=ws.params.run_date)
     return ws.spark.read.schema(RESULT_SCHEMA).parquet(path)
 
 
+def _appended(ws: Workspace, report: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    path = ws.path(name)
+    tb.append_results(report, path, schema=schema, run_date=ws.params.run_date)
+    return ws.spark.read.schema(schema).parquet(path)
+
+
+@query
+def append_category_results(ws):
+    return _appended(ws, error_by_category(ws), CATEGORY_RESULTS, "category_results")
+
+
+@query
+def append_horizon_results(ws):
+    return _appended(ws, error_by_horizon(ws), HORIZON_RESULTS, "horizon_results")
+
+
+@query
+def append_overall_results(ws):
+    return _appended(ws, error_overall(ws), OVERALL_RESULTS, "overall_results")
+
+
 @query
 def dataset_profile(ws):
     return sc.dataset_profile(_five_sets(ws))
@@ -430,7 +468,7 @@ def eval_planned(ws):
 
 @query
 def eval_planned_complete(ws):
-    return sa.eval_planned_complete(ws.second, ws.plans(), dates=ws.dates)
+    return sa.eval_planned_complete(ws.planned_samples, dates=ws.dates)
 
 
 @query
@@ -465,17 +503,17 @@ def disagg_raw_weights(ws):
 
 @query
 def disagg_scenarios(ws):
-    return dg.disagg_scenarios(ws.disagg_weights)
+    return dg.disagg_scenarios(ws.disagg_weights, caps=ws.disagg_caps)
 
 
 @query
 def disagg_flags(ws):
-    return dg.disagg_flags(ws.disagg_weights, dg.disagg_scenarios(ws.disagg_weights))
+    return dg.disagg_flags(ws.disagg_weights, disagg_scenarios(ws), caps=ws.disagg_caps)
 
 
 @query
 def disagg_final(ws):
-    return dg.disagg_final(ws.disagg_weights, dg.disagg_scenarios(ws.disagg_weights))
+    return dg.disagg_final(ws.disagg_weights, disagg_scenarios(ws), caps=ws.disagg_caps)
 
 
 # --- data quality ---------------------------------------------------------------------------
@@ -493,16 +531,29 @@ def dq_type(ws):
     return dq.dq_type(ws.tables.scan(), expected=INGRESS_TYPES)
 
 
+def _dq_checks(ws: Workspace) -> list[list[DataFrame]]:
+    """The checks before and after the disaggregation job."""
+    return [
+        [dq.dq_not_null(df, columns=not_null), dq.dq_type(df, expected=types)]
+        for df, not_null, types in (
+            (ws.tables.scan(), ["scan_id"], INGRESS_TYPES),
+            (ws.disagg_weights, list(EGRESS_TYPES), EGRESS_TYPES),
+        )
+    ]
+
+
 @query
 def dq_report(ws):
-    scan, weights = ws.tables.scan(), ws.disagg_weights
-    return dq.dq_report(
-        dq.dq_not_null(scan, columns=["scan_id"]),
-        dq.dq_type(scan, expected=INGRESS_TYPES),
-        dq.dq_not_null(weights, columns=list(EGRESS_TYPES)),
-        dq.dq_type(weights, expected=EGRESS_TYPES),
-        checked_at=CHECKED_AT,
-    )
+    ingress, egress = _dq_checks(ws)
+    return dq.dq_report(*ingress, *egress, checked_at=CHECKED_AT)
+
+
+@query
+def dq_log(ws):
+    path = ws.path("dq_log")
+    for checks in _dq_checks(ws):
+        tb.append_log(dq.dq_report(*checks, checked_at=CHECKED_AT), path)
+    return ws.spark.read.parquet(path)
 
 
 # --- encoding, training, scoring ------------------------------------------------------------
@@ -521,21 +572,21 @@ def cast_columns(ws):
 @query
 def target_encode(ws):
     train = ws.splits.where(F.col("split") == "train")
-    return en.target_encode(train, ws.splits, cols=tr.ENCODED, target="target")
+    codes = ws.stage(en.category_codes(train, cols=tr.ENCODED, target="target"), "category_codes")
+    return en.target_encode(train, ws.splits, cols=tr.ENCODED, target="target", codes=codes)
 
 
-def _model(ws: Workspace):
+def _model(ws: Workspace) -> tuple[DataFrame, tr.DemandModel]:
     """Encoded splits and the model fitted on them, once per workspace."""
     if "_fitted" not in ws.__dict__:
         train = ws.splits.where(F.col("split") == "train")
-        encoded = tb.stage(
-            tr.encoded_features(train, ws.splits, covariates=sa.COVARIATES), "encoded"
-        )
+        encoder = tr.fit_encoder(train, covariates=sa.COVARIATES, store=ws.stage)
+        encoded = ws.stage(encoder.encode(ws.splits), "encoded")
         parts = {s: encoded.where(F.col("split") == s) for s in ("train", "val")}
-        model = tr.train_model(
+        trees = tr.train_model(
             parts["train"], parts["val"], covariates=sa.COVARIATES, params=SMALL_FIT
         )
-        ws.__dict__["_fitted"] = (encoded, model)
+        ws.__dict__["_fitted"] = (encoded, tr.DemandModel(encoder, trees))
     return ws.__dict__["_fitted"]
 
 
@@ -543,7 +594,7 @@ def _model(ws: Workspace):
 def train_model(ws):
     encoded, model = _model(ws)
     train = encoded.where(F.col("split") == "train")
-    scored = model.transform(encoded).withColumn(
+    scored = model.trees.transform(encoded).withColumn(
         "mean", train.agg(F.avg("target").alias("m")).scalar()
     )
     return scored.groupBy("split").agg(
@@ -562,6 +613,9 @@ def tune_model(ws):
         covariates=sa.COVARIATES,
         rates=(0.1, 0.3),
         depths=(2, 4),
+        rows=(0.6, 0.8),
+        columns=(0.6, 0.9),
+        trials=4,
         base=dataclasses.replace(SMALL_FIT, trees=10),
     )
 
@@ -579,7 +633,106 @@ def monotone_envelope(ws):
 @query
 def feature_importance(ws):
     _, model = _model(ws)
-    return tr.feature_importance(model, covariates=sa.COVARIATES)
+    return tr.feature_importance(model.trees, covariates=sa.COVARIATES)
+
+
+SAMPLE_KEY = ("mds_fam_id", "item_nbr", "club_nbr", "date", "item_on_shelf_date_dt")
+
+
+def _fitted_predictions(ws: Workspace) -> DataFrame:
+    """The test, planned and manual sets scored by the fitted model; more weeks never sell less."""
+    if "_fitted_predictions" not in ws.__dict__:
+        _, model = _model(ws)
+        sets = {
+            "test": ws.splits.where(F.col("split") == "test"),
+            "planned": ws.planned_eval,
+            "manual": ws.manual_eval,
+        }
+        parts = [
+            so.monotone_envelope(
+                so.score_sales(rows, model, inventory_col="inventory_qty"),
+                by=SAMPLE_KEY,
+                order_by="num_weeks",
+                value="predicted_sales",
+            ).select(
+                F.lit(name).alias("dataset"),
+                *SAMPLE_KEY,
+                "num_weeks",
+                "inventory_qty",
+                "target",
+                F.col("monotone_predicted_sales").alias("predicted_sales"),
+            )
+            for name, rows in sets.items()
+        ]
+        every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        ws.__dict__["_fitted_predictions"] = ws.stage(every, "fitted_predictions")
+    return ws.__dict__["_fitted_predictions"]
+
+
+@query
+def score_fitted(ws):
+    return _fitted_predictions(ws)
+
+
+@query
+def score_fitted_checks(ws):
+    """What must hold of the model's predictions whatever its trees are, per set."""
+    units, stock = F.col("predicted_sales"), F.col("inventory_qty")
+    shorter = F.lag(units).over(Window.partitionBy("dataset", *SAMPLE_KEY).orderBy("num_weeks"))
+    day = F.datediff("date", F.lit(datetime(1992, 1, 1)).cast("date"))
+    key = F.col("mds_fam_id") * 100000 + F.col("club_nbr") * 10000 + day + F.col("num_weeks")
+    return (
+        _fitted_predictions(ws)
+        .withColumn("_shorter", shorter)
+        .groupBy("dataset")
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.sum(key.cast("long")).alias("key_sum"),
+            F.sum(F.col("target").cast("decimal(18,2)")).cast("double").alias("target_sum"),
+            F.count_if(units.isNull() | F.isnan(units) | (units < 0)).alias("n_negative"),
+            F.count_if(units > stock).alias("n_above_stock"),
+            F.count_if(units < F.col("_shorter")).alias("n_falling"),
+        )
+    )
+
+
+@query
+def grid_fitted_checks(ws):
+    """The model on the discount grid: no deeper discount may sell less."""
+    _, model = _model(ws)
+    grid = so.grid_score(el.discount_grid(ws.manual_eval, horizon=1), model)
+    rising = so.monotone_envelope(grid, by=el.SAMPLE, order_by="discount")
+    value = F.col("monotone_predicted_sale")
+    before = F.lag(value).over(Window.partitionBy(*el.SAMPLE).orderBy("discount"))
+    return rising.withColumn("_before", before).agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(value.isNull() | (value < 0)).alias("n_negative"),
+        F.count_if(value < F.col("_before")).alias("n_falling"),
+        F.count_if(value < F.col("predicted_sale")).alias("n_below_own"),
+    )
+
+
+@query
+def model_checks(ws):
+    """Counts and yes/no facts about the fit, the search and the importances."""
+    fit, trials, weights = train_model(ws), tune_model(ws), feature_importance(ws)
+    train = F.col("split") == "train"
+    better = F.max(F.when(train, (F.col("model_mae") < F.col("mean_mae")).cast("long")))
+    facts = [
+        fit.where(train).select(F.lit("train_rows").alias("fact"), F.col("n_rows").alias("value")),
+        fit.where(F.col("split") == "val").select(F.lit("val_rows"), "n_rows"),
+        fit.agg(better.alias("v")).select(F.lit("beats_mean_on_train"), "v"),
+        trials.agg(F.count("*").alias("v")).select(F.lit("trials"), "v"),
+        trials.agg(F.count_if(F.col("val_mae") >= 0).alias("v")).select(F.lit("trials_with_error"), "v"),
+        weights.agg(F.count("*").alias("v")).select(F.lit("covariates"), "v"),
+        weights.agg(F.rint(F.sum("importance")).cast("long").alias("v")).select(
+            F.lit("importance_total"), "v"
+        ),
+    ]
+    result = facts[0]
+    for fact in facts[1:]:
+        result = result.union(fact)
+    return result
 
 
 @query
@@ -619,6 +772,11 @@ def metrics_train_val_test(ws):
     return ev.metrics_train_val_test(ws.predictions(ws.splits))
 
 
+@query
+def metrics_test(ws):
+    return ev.metrics_test(ws.predictions(ws.splits.where(F.col("split") == "test")))
+
+
 @query
 def metrics_by_horizon(ws):
     return ev.metrics_by_horizon(ws.manual_predictions())
@@ -677,12 +835,12 @@ def first_session_week(ws):
 def combine_metrics(ws):
     test = ws.predictions(ws.splits.where(F.col("split") == "test"))
     reports = [
-        ev.long_metrics(ev.metrics_overall(test), prefix="test_"),
+        ev.long_metrics(ev.metrics_over_under(test), prefix="test_"),
+        ev.long_metrics(ev.metrics_test(test), prefix="test_"),
         ev.long_metrics(ev.metrics_overall(ws.planned_predictions()), prefix="cumul_eval_"),
         ev.long_metrics(ev.metrics_overall(ws.manual_predictions()), prefix="cumul_eval_"),
-        ev.long_metrics(ev.metrics_over_under(test), prefix="test_"),
     ]
-    return ev.combine_metrics(*reports, suffixes=["", "_logs", "_manual", ""])
+    return ev.combine_metrics(*reports, suffixes=["", "", "_logs", "_manual"])
 
 
 @query
@@ -776,9 +934,28 @@ def cart_ratios(ws):
     return cart.cart_ratios(ws.tables.cart_event())
 
 
+# --- the same over keys that grow with the data ---------------------------------------------
+
+
+@query
+def first_level_features_fine(ws):
+    return ws.first_level()
+
+
+@query
+def second_level_features_fine(ws):
+    return ws.second
+
+
+@query
+def eval_manual_fine(ws):
+    return ws.manual_eval
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Output of one registered query over one driver folder."""
-    return present(QUERIES[name](workspace(spark, sf_dir)), COLUMNS[name])
+    ws = workspace(spark, sf_dir, fine=name.endswith("_fine"))
+    return present(QUERIES[name](ws), COLUMNS[name])
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

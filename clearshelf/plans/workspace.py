@@ -19,7 +19,7 @@ from clearshelf.operators import second_level as sl
 from clearshelf.params import PLAN_STATUS
 from clearshelf.operators.scoring import closed_form_scorer, score_sales
 from clearshelf.sources.retail import PARAMS, RetailTables
-from clearshelf.sources.tables import shared_folder, stage
+from clearshelf.sources.tables import remove, shared_folder, stage
 
 RUN_TS = datetime(2001, 11, 5, 7, 0, 0)
 
@@ -38,16 +38,38 @@ def _once(method: Callable[["Workspace"], DataFrame]) -> Callable[["Workspace"],
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    """Stage tables and predictions over one driver folder.
+
+    They lie in a folder of their own under ``folder``, by default the one the cluster names, until
+    ``close()``. A workspace reads its input once: changed input needs a new one.
+    """
+
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, *, fine: bool = False, folder: str | None = None
+    ) -> None:
         self.spark = spark
-        self.tables = RetailTables(spark, sf_dir)
+        self.tables = RetailTables(spark, sf_dir, fine=fine)
         self.params = PARAMS
         self.dates = PARAMS.dates
+        parent = folder or f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+        self.folder = f"{parent}/workspace-{uuid.uuid4().hex[:12]}"
+
+    def path(self, name: str) -> str:
+        """A new path in the workspace."""
+        return f"{self.folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, name, path=self.path(name))
+
+    def close(self) -> None:
+        """Delete everything this workspace wrote; frames taken from it can no longer be read."""
+        remove(self.spark, self.folder)
+        _forget(self)
 
     @cached_property
     def inventory_daily(self) -> DataFrame:
         """The snapshot table; written out because the stock join and the sessions both read it."""
-        return stage(self.tables.inventory_daily(), "inventory_daily")
+        return self.stage(self.tables.inventory_daily(), "inventory_daily")
 
     # --- scans, lazy ---------------------------------------------------------------------
 
@@ -186,34 +208,49 @@ class Workspace:
     @cached_property
     def panel(self) -> DataFrame:
         """First-level table with the half-year statistics of the same window partitioning."""
-        return stage(sl.half_year_stats(self.first_level()), "panel")
+        return self.stage(sl.half_year_stats(self.first_level()), "panel")
 
     @cached_property
     def second(self) -> DataFrame:
         """Second-level table."""
-        features = sl.second_level_features(self.panel, run_ts=RUN_TS, with_half_year=False)
-        return stage(features, "second_level")
+        summary = self.stage(sl.weekly_summary(self.panel), "weekly_summary")
+        features = sl.second_level_features(
+            self.panel, run_ts=RUN_TS, with_half_year=False, summary=summary
+        )
+        return self.stage(features, "second_level")
 
     @cached_property
     def samples(self) -> DataFrame:
         filtered = sa.initial_filter(self.second)
-        return stage(sa.data_samples(filtered, after=self.dates.warm_start), "samples")
+        return self.stage(sa.data_samples(filtered, after=self.dates.warm_start), "samples")
 
     @cached_property
     def splits(self) -> DataFrame:
-        return stage(sa.train_val_test(self.samples, dates=self.dates), "splits")
+        return self.stage(sa.train_val_test(self.samples, dates=self.dates), "splits")
 
     @cached_property
     def manual_eval(self) -> DataFrame:
-        return stage(sa.eval_manual(self.second, self.manual(), dates=self.dates), "eval_manual")
+        found = sa.eval_manual(self.second, self.manual(), dates=self.dates)
+        return self.stage(found, "eval_manual")
 
     @cached_property
+    def planned_samples(self) -> DataFrame:
+        """Both planned sets are cut from this table."""
+        found = sa.planned_samples(self.second, self.plans(), dates=self.dates)
+        return self.stage(found, "planned_samples")
+
+    @property
     def planned_eval(self) -> DataFrame:
-        return stage(sa.eval_planned(self.second, self.plans(), dates=self.dates), "eval_planned")
+        return sa.eval_planned(self.planned_samples, dates=self.dates)
 
     @cached_property
     def disagg_weights(self) -> DataFrame:
-        return stage(dg.disagg_raw_weights(self.disagg_input()), "disagg_weights")
+        return self.stage(dg.disagg_raw_weights(self.disagg_input()), "disagg_weights")
+
+    @cached_property
+    def disagg_caps(self) -> DataFrame:
+        """The caps of every group in order; scenarios, flags and totals read them."""
+        return self.stage(dg.ordered_caps(self.disagg_weights), "disagg_caps")
 
     @cached_property
     def descriptions(self) -> DataFrame:
@@ -222,9 +259,7 @@ class Workspace:
             F.col("dept_nbr").alias("category_nbr"),
             F.concat(F.lit("DEPT_"), F.col("dept_nbr")).alias("description"),
         )
-        folder = shared_folder(self.spark)
-        app = self.spark.sparkContext.applicationId
-        path = f"{folder}/{app}/descriptions-{uuid.uuid4().hex[:12]}"
+        path = self.path("descriptions")
         text.distinct().write.option("header", True).csv(path)
         return self.spark.read.schema("category_nbr int, description string").csv(path, header=True)
 
@@ -244,17 +279,22 @@ class Workspace:
         return ev.weekly_decumulate(self.manual_predictions())
 
 
-_WORKSPACES: dict[tuple[str, str], Workspace] = {}
+_WORKSPACES: dict[tuple[str, str, bool], Workspace] = {}
 
 
-def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
+def workspace(spark: SparkSession, sf_dir: str, *, fine: bool = False) -> Workspace:
     """The workspace of this application and folder; stage tables are shared by its queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, fine)
     if key not in _WORKSPACES:
-        _WORKSPACES[key] = Workspace(spark, sf_dir)
+        _WORKSPACES[key] = Workspace(spark, sf_dir, fine=fine)
     return _WORKSPACES[key]
 
 
+def _forget(closed: Workspace) -> None:
+    for key in [k for k, ws in _WORKSPACES.items() if ws is closed]:
+        del _WORKSPACES[key]
+
+
 def forget_workspaces() -> None:
     """Drop the shared stage tables, so that the next query builds its own (used by the bench)."""
     _WORKSPACES.clear()

@@ -36,11 +36,16 @@ def _exact(units: Column, unit: str) -> Column:
 
 
 class RetailTables:
-    """Lazy views over one driver folder; nothing is read until an action needs it."""
+    """Lazy views over one driver folder; nothing is read until an action needs it.
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    With ``fine`` keys an item is a part and a club is a nation, so items grow with the data;
+    otherwise an item is a brand and a club is a region.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, *, fine: bool = False) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self.fine = fine
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -52,11 +57,12 @@ class RetailTables:
     def item_master(self) -> DataFrame:
         """One row per scanned id, with the attributes the current-item filter needs."""
         brand = F.expr("cast(replace(p_brand, 'Brand#', '') as int)")
+        family = F.col("p_partkey").cast("int") if self.fine else brand
         kind = F.array_position(F.array(*map(F.lit, PART_TYPES)), F.col("p_type"))
         return self.raw("part").select(
             F.col("p_partkey").alias("scan_id"),
-            brand.alias("mds_fam_id"),
-            (1000 + brand).alias("item_nbr"),
+            family.alias("mds_fam_id"),
+            (1000 + family).alias("item_nbr"),
             (brand % 5).alias("dept_nbr"),
             (brand % 10).alias("subclass_nbr"),
             F.when(F.col("p_type") == "ECONOMY", "N").otherwise("Y").alias("current_ind"),
@@ -96,7 +102,7 @@ class RetailTables:
             .join(self.raw("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("s_suppkey").alias("store_nbr"),
-                F.col("n_regionkey").alias("club_nbr"),
+                F.col("n_nationkey" if self.fine else "n_regionkey").alias("club_nbr"),
                 F.when(F.col("s_suppkey") % 20 == 0, "W").otherwise("S").alias("store_type"),
             )
         )

@@ -60,6 +60,18 @@ def append_results(df: DataFrame, path: str, *, schema: T.StructType, run_date:
     write_table(projected, path, mode="append")
 
 
+def append_log(log: DataFrame, path: str) -> None:
+    """Append a data-quality report to the log table of all jobs."""
+    write_table(log, path, mode="append")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stage tables on whatever file system it is."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
@@ -83,12 +95,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once under the shared folder and read it back.
+def stage(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
+    """Write ``df`` once to a new ``path``, by default under the shared folder, and read it back.
 
     Cuts lineage where several consumers follow. Unlike ``checkpoint()`` the result is a
     columnar table: each consumer reads only its columns, and its size is known to the planner.
     """
-    path = fresh_path(df.sparkSession, name)
+    path = path or fresh_path(df.sparkSession, name)
     write_table(df, path, mode="errorifexists")
     return df.sparkSession.read.schema(df.schema).parquet(path)
