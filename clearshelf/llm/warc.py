@@ -28,7 +28,10 @@ VERSION = b"WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
 BOUNDARY = RECORD_END + VERSION.decode()
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_BOUNDARIES = re.compile(b"(?=" + re.escape(BOUNDARY.encode()) + b")")
+#: The reader splits at ``VERSION``. Its first byte stands in it once: a line reader that does not
+#: back up over the edge of its buffer cannot miss it, whatever bytes a block ends in.
+MARK = "WARC/1.1"
+_MARKS = re.compile(re.escape(MARK.encode()))
 
 
 def base32(digest: bytes) -> str:
@@ -38,11 +41,11 @@ def base32(digest: bytes) -> str:
 def cuts(block: bytes, chunk_bytes: int, head: int = 0) -> Iterator[tuple[int, int]]:
     """(start, end) of the chunks of a block; the first one has ``head`` bytes more.
 
-    Chunks end between UTF-8 characters. No chunk holds the boundary between two records nor
-    begins with the line that begins a record, so that a reader may split at the boundary: a cut
-    falls inside that line wherever the block has it.
+    Chunks end between UTF-8 characters. No chunk holds ``MARK``, with which the line that begins a
+    record begins, so that a reader may split at that line: a cut falls inside the mark wherever
+    the block has it.
     """
-    forced = iter([m.start() + 6 for m in _BOUNDARIES.finditer(block)])
+    forced = iter([m.start() + 2 for m in _MARKS.finditer(block)])
     start, size, inside = 0, len(block), next(forced, None)
     while True:
         end = min(start + chunk_bytes + (head if start == 0 else 0), size)
@@ -52,8 +55,6 @@ def cuts(block: bytes, chunk_bytes: int, head: int = 0) -> Iterator[tuple[int, i
             inside = next(forced, None)
         if inside is not None and inside < end:
             end = inside
-        elif end < size and block.startswith(VERSION, end):
-            end += 2
         yield start, end
         if end >= size:
             return
@@ -69,7 +70,8 @@ def _record_id(page_id: object, digest: str) -> str:
 
 
 def _one_line(url: str | None) -> str:
-    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
+    escaped = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
+    return escaped.replace(MARK, f"%{ord(MARK[0]):02X}{MARK[1:]}")
 
 
 def records(
@@ -187,16 +189,25 @@ CHUNKS = T.StructType(
 
 
 def parse_segment(value: bytes) -> dict | None:
-    """A segment as a row of ``CHUNKS``; ``content`` only for a part of a longer record."""
+    """A segment as a row of ``CHUNKS``; ``content`` only for a part of a longer record.
+
+    None for the nothing before the first record of a file. After the block only the record's end
+    may follow.
+    """
     if value.startswith(VERSION):
         value = value[len(VERSION) :]
+    if not value:
+        return None
     head, mark, rest = value.partition(b"\r\n\r\n")
     if not mark:
-        return None
+        raise ValueError("a record has no end of its header")
     fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n"))
-    block = memoryview(rest)[: int(fields["Content-Length"])]
-    if len(block) != int(fields["Content-Length"]):
+    length = int(fields["Content-Length"])
+    block = memoryview(rest)[:length]
+    if len(block) != length:
         raise ValueError(f"record {fields['WARC-Record-ID']} is cut short")
+    if rest[length:] not in (b"", RECORD_END.encode()):
+        raise ValueError(f"bytes follow the block of record {fields['WARC-Record-ID']}")
     chunk = int(fields.get("WARC-Segment-Number", 0))
     row = {
         "page_id": int(fields["X-Page-ID"]) if fields["X-Page-ID"] else None,
@@ -230,7 +241,7 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
             rows = [r for v in utf8(batch, "value") if (r := parse_segment(v))]
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    lines = spark.read.option("lineSep", BOUNDARY).schema("value string").text(path)
+    lines = spark.read.option("lineSep", VERSION.decode()).schema("value string").text(path)
     return arrow_map(lines, parsed, CHUNKS)
 
 

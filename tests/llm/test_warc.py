@@ -104,3 +104,36 @@ def test_a_lost_chunk_is_noticed(spark):
     assert [r["chunk"] for r in rows] == list(range(1, len(record) + 1))
     with pytest.raises(ValueError, match="cut short"):
         warc.parse_segment(record[0][:-5])
+
+
+def test_blocks_that_end_in_line_ends_across_read_buffers(spark, tmp_path):
+    """The edge of a 64 KiB buffer falls on every byte around the end of a record."""
+    ends = ["\r\n\r\n", "\r\n", "\r", "W", "x"]
+    n = 0
+    for k, end in enumerate(ends):
+        for shift in range(24):
+            for total in (4096, 65536):
+                bare = len(next(warc.records(1, "u", end.encode(), 1, "0-1", 10**6)))
+                text = "x" * (total - bare - shift) + end
+                parts = [*warc.records(1, "u", text.encode(), 1, "0-1", 10**6)]
+                parts += [*warc.records(2, "u", b"", 3, "0-2", 10**6), *warc.records(3, "u", b"", 3, "0-3", 10**6)]
+                whole = b"".join(p + warc.RECORD_END.encode() for p in parts)
+                (tmp_path / f"{k}-{shift}-{total}.warc").write_bytes(whole)
+                n += 1
+    rows = warc.read_chunks(spark, str(tmp_path)).collect()
+    assert len(rows) == 3 * n
+    assert all(sum(r.page_id == i for r in rows) == n for i in (1, 2, 3))
+
+
+def test_the_mark_of_a_record_in_a_url_and_at_the_end_of_a_page(spark):
+    rows = [(1, "http://a/WARC/1.1", "x WARC/1.1"), (2, "WARC/1.1", "WARC/1.1\r\n"), (3, "u", "WWARC/1.1\r\n\r\n"),
+            (4, "u", "WARC/1.1" * 9), (5, "u", "")]
+    for chunk_bytes in (8, 64, warc.CHUNK_BYTES):
+        assert found(warc.round_trip(pages_of(spark, rows), chunk_bytes=chunk_bytes)) == expected(rows)
+
+
+def test_bytes_after_a_block_are_noticed():
+    one, two = (next(warc.records(i, "u", b"a\r\n", i, "0-1", 300)) for i in (1, 2))
+    assert warc.parse_segment(one + b"\r\n\r\n")["page_id"] == 1
+    with pytest.raises(ValueError, match="bytes follow"):
+        warc.parse_segment(one + b"\r\n\r\n" + two)
