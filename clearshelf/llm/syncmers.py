@@ -24,8 +24,8 @@ def with_syncmers(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with ``out``: the array of (``position``, ``hash``) of a text's closed syncmers.
 
     ``position`` is the 0-based word where the k-mer starts, ``hash`` a 32-bit hash of its words.
-    Of equal inner hashes every one is smallest. A text of 1 to k-1 words has one anchor, its whole
-    sequence of words; an empty or null text has none.
+    Of equal inner hashes every one is smallest. A text of words without a closed syncmer, as any of
+    1 to k-1 words, has one anchor, its whole sequence of words; an empty or null text has none.
     """
     words, pairs = f"_{out}_words", f"_{out}_pairs"
     split = F.split(F.coalesce(F.col(text), F.lit("")), _SEPARATOR)
@@ -48,8 +48,10 @@ def with_syncmers(df: DataFrame, text: str, out: str) -> DataFrame:
     # the pairs 0-1, 2-3 and 3-4 name all five words
     chosen = F.transform(starts, lambda i: anchor(i, F.xxhash64(g[i], g[i + 2], g[i + 3])))
     whole = F.array(anchor(F.lit(0), F.xxhash64(words)))
-    anchors = F.when(n >= K, chosen).when(n > 0, whole).otherwise(F.slice(whole, 1, 0))
-    return paired.withColumn(out, anchors).drop(words, pairs)
+    none = F.slice(whole, 1, 0)
+    some = paired.withColumn(out, F.when(n >= K, chosen).otherwise(none))
+    fallback = F.when((F.size(out) == 0) & (n > 0), whole).otherwise(F.col(out))
+    return some.withColumn(out, fallback).drop(words, pairs)
 
 
 def sketch(anchors: str, size: int = SKETCH) -> Column:

@@ -78,3 +78,15 @@ def test_empty_table_and_single_document(spark, docs_of):
 def test_no_python_in_the_plan(spark, docs_of):
     plan = syncmers.fingerprints(docs_of([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_texts_of_five_and_six_words_have_an_anchor(spark, docs_of):
+    texts = {n * 100 + i: words(n, n * 100 + i) for n in (5, 6) for i in range(40)}
+    found = {}
+    for r in syncmers.anchors_table(docs_of(list(texts.items()))).collect():
+        found.setdefault(r.id, []).append((r.position, r.hash))
+    assert found.keys() == texts.keys()
+    assert len({tuple(sorted(a)) for a in found.values()}) == len(texts)
+    rows = {r.row.doc_id: r for r in syncmers.fingerprints(docs_of([*texts.items(), (1, "")])).collect()}
+    assert all(rows[i].fingerprint != "" for i in texts) and rows[1].fingerprint == ""
+    assert all(rows[i].near_next == 0.0 for i in texts)
