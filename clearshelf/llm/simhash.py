@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clearshelf.llm import similar
 from clearshelf.llm.common import arrow_map, as_row, spaced_words, utf8
 from clearshelf.llm.components import components
 from clearshelf.sources.tables import stage
@@ -176,16 +177,30 @@ def simhash_components(
 def drop_near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One document of each component, that of the smallest id, with the columns of ``docs``.
+    """One document of each group of near copies, that of the smallest id, with the columns of ``docs``.
 
-    Of rows with that id the first in the stored table stays; null ids come last. Columns of any
-    name pass through.
+    Near copies share four fifths of their five-word shingles (``similar``); groups are the
+    components of such pairs. The two bits and three words of ``simhash_components`` do not hold
+    here. Of rows with that id the first in the stored table stays; null ids come last. Columns of
+    any name pass through.
     """
     whole = as_row(docs).select(
         "row",
         F.monotonically_increasing_id().alias("_at"),
         F.col(f"row.`{text_col}`").alias("_text"),
     )
-    rows = stage(with_simhash(whole), "simhash").withColumn("_order", _order(id_col))
-    found = near_duplicates(rows.select("_fp", "_order")).select(F.col("first.at").alias("_kept"))
+    rows = stage(similar.with_bands(whole), "shingles").withColumn("_order", _order(id_col))
+    reps = stage(
+        rows.groupBy(F.col("_set").alias("node")).agg(
+            F.min("_order").alias("first"), F.any_value("_bands").alias("bands")
+        ),
+        "sets",
+    )
+    texts = rows.select("_at", F.col(f"row.`{text_col}`").alias("_text"))
+    roots = similar.near_copies(reps, texts).withColumnRenamed("node", "_node")
+    rooted = reps.join(roots, reps["node"] == roots["_node"], "left").select(
+        "first", F.coalesce("root", "node").alias("root")
+    )
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    found = lowest.select(F.col("first.at").alias("_kept"))
     return rows.join(found, F.col("_at") == F.col("_kept"), "left_semi").select("row.*")
