@@ -52,12 +52,14 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "score")
+    __slots__ = ("tag", "attrs", "parent", "children", "score", "points", "size", "linked")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list = []
         self.score = 0.0
+        self.points = 0.0  # of all paragraphs below, links discounted
+        self.size = self.linked = 0  # characters of text, and of text in links
 
 
 class _Tree(HTMLParser):
@@ -97,6 +99,8 @@ class _Tree(HTMLParser):
     def _close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; an item ends the item before it."""
         stops = CLOSED_BY_SAME.get(tag, frozenset())
+        if not stops and tag not in BLOCKS:
+            return
         node = self.at
         while node.parent is not None:
             if tag in BLOCKS and node.tag == "p":
@@ -126,79 +130,103 @@ def _dropped(node: Node) -> bool:
     return not DROPPED_NAMES.isdisjoint(_NAME.findall(_CAMEL.sub(" ", names).lower()))
 
 
-def _prune(node: Node) -> None:
-    kept = []
-    for child in node.children:
-        if isinstance(child, str):
-            kept.append(child)
-        elif not _dropped(child):
-            _prune(child)
-            kept.append(child)
-    node.children = kept
+def _prune(root: Node) -> None:
+    open_ = [root]
+    while open_:
+        node = open_.pop()
+        node.children = [c for c in node.children if isinstance(c, str) or not _dropped(c)]
+        open_ += (c for c in node.children if not isinstance(c, str))
 
 
-def _lengths(node: Node) -> tuple[int, int]:
-    """Characters of text and of text in links below a node."""
-    size = linked = 0
-    for child in node.children:
-        if isinstance(child, str):
-            size += len(_SPACE.sub(" ", child).strip())
-        else:
-            a, b = _lengths(child)
-            size, linked = size + a, linked + (a if child.tag == "a" else b)
-    return size, linked
+def _upwards(root: Node) -> list[Node]:
+    """All elements in the order of the page, each after those below it."""
+    order, open_ = [], [root]
+    while open_:
+        node = open_.pop()
+        order.append(node)
+        open_ += (c for c in node.children if not isinstance(c, str))
+    return order[::-1]  # a node goes before its children here, the last child first
+
+
+def _measure(nodes: list[Node]) -> None:
+    """Characters of text and of text in links below each node."""
+    for node in nodes:
+        node.size = node.linked = 0
+        for child in node.children:
+            if isinstance(child, str):
+                node.size += len(_SPACE.sub(" ", child).strip())
+            else:
+                node.size += child.size
+                node.linked += child.size if child.tag == "a" else child.linked
 
 
 def _density(node: Node) -> float:
-    size, linked = _lengths(node)
-    return linked / size if size else 0.0
+    return node.linked / node.size if node.size else 0.0
 
 
 def _own_text(node: Node) -> str:
     """Text of a node outside the blocks below it."""
-    parts = []
-    for child in node.children:
+    parts, open_ = [], node.children[::-1]
+    while open_:
+        child = open_.pop()
         if isinstance(child, str):
             parts.append(child)
+        elif child.tag == "br":
+            parts.append(" ")
         elif child.tag not in BLOCKS:
-            parts.append(" " if child.tag == "br" else _own_text(child))
+            open_ += child.children[::-1]
     return "".join(parts)
 
 
-def _score(node: Node, scored: list[Node]) -> None:
-    """Every paragraph, or other block with text of its own, passes its points upwards: all to its
-    parent, half to the next, a third to the next and so on."""
-    for child in node.children:
-        if isinstance(child, str):
-            continue
-        _score(child, scored)
+def _points(node: Node) -> float:
+    """Points of a paragraph or other block with text of its own."""
     if node.tag not in BLOCKS or node.tag in HEADINGS:
-        return
+        return 0.0
     text = _SPACE.sub(" ", _own_text(node)).strip()
-    if not text:
-        return
-    points = 1 + text.count(",") + min(len(text) / 100, 3)
-    up, level = (node.parent if node.tag == "p" else node), 1
-    while up is not None and level <= 4:
-        if up.score == 0:
-            scored.append(up)
-        up.score += points / level
-        up, level = up.parent, level + 1
+    return 1 + text.count(",") + min(len(text) / 100, 3) if text else 0.0
+
+
+def _score(nodes: list[Node], scored: list[Node]) -> None:
+    """Every paragraph, or other block with text of its own, passes its points upwards: all to its
+    parent, half to the next, a third to the next and so on."""
+    for node in nodes:
+        points = _points(node)
+        node.points = points * (1 - _density(node))
+        for child in node.children:
+            if not isinstance(child, str):
+                node.points += child.points
+        up, level = (node.parent if node.tag == "p" else node), 1
+        while points and up is not None and level <= 4:
+            if up.score == 0:
+                scored.append(up)
+            up.score += points / level
+            up, level = up.parent, level + 1
+
+
+def _widened(best: Node, root: Node) -> Node:
+    """The nearest element around ``best`` with four fifths of the page's points: paragraphs that
+    stand in nests of their own meet only there."""
+    while best.parent is not None and 5 * best.points < 4 * root.points:
+        best = best.parent
+    return best
 
 
 def _blocks(node: Node, out: list[list[str]]) -> None:
     """Collect text runs: a block starts a new run before and after itself."""
-    for child in node.children:
-        if isinstance(child, str):
+    open_ = node.children[::-1]
+    while open_:
+        child = open_.pop()
+        if child is None:
+            out.append([])
+        elif isinstance(child, str):
             out[-1].append(child)
         elif child.tag == "br":
             out[-1].append(" ")
-        elif child.tag in BLOCKS:
-            out.append([])
-            _blocks(child, out)
-            out.append([])
         else:
-            _blocks(child, out)
+            if child.tag in BLOCKS:
+                out.append([])
+                open_.append(None)
+            open_ += child.children[::-1]
 
 
 def _text(nodes: list) -> str:
@@ -233,7 +261,8 @@ def main_text(html: str) -> str:
 
     Boilerplate elements go first. Paragraphs pass points for length and commas to their ancestors,
     whose score is discounted by the share of their text that is in links. The best container is
-    widened to the article around it and kept whole, with those siblings that score a fifth of it
+    widened to the article around it, or else, if it holds under four fifths of all points, to the
+    element that does, which is kept but for parts mostly in links. Otherwise it is kept whole, with those siblings that score a fifth of it
     (5 at least) or are paragraphs, headings or other plain blocks mostly outside links. A tag cut
     off by the end of the page is no text.
     """
@@ -244,8 +273,10 @@ def main_text(html: str) -> str:
     tree.feed(html)
     tree.close()
     _prune(tree.root)
+    nodes = _upwards(tree.root)
+    _measure(nodes)
     scored: list[Node] = []
-    _score(tree.root, scored)
+    _score(nodes, scored)
     if not scored:
         return _text(tree.root.children)
     discounted = [(node.score * (1 - _density(node)), -i, node) for i, node in enumerate(scored)]
@@ -253,6 +284,10 @@ def main_text(html: str) -> str:
     whole = _container(best)
     if whole is not None:
         best = whole
+    elif 5 * best.points < 4 * tree.root.points:
+        best = _widened(best, tree.root)
+        kept = (c for c in best.children if isinstance(c, str) or c.tag not in BLOCKS or _density(c) < 0.5)
+        return _text(list(kept))
     if best.parent is None:
         return _text(best.children)
     least = max(5.0, points / 5)

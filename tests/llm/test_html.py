@@ -99,3 +99,17 @@ def test_rows(spark):
     assert sum(r.text == TEXT and r.n_chars == len(TEXT) for r in found) == 2
     assert sum(r.text == "" and r.n_chars == 0 for r in found) == 2
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 3, 9])
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 6, 40])
+def test_paragraphs_in_nests_of_their_own(n, depth):
+    texts = [PARA, OTHER * 3, *[f"{OTHER} {i}" for i in range(n - 2)]]
+    nests = "".join("<div>" * depth + f"<p>{t}</p>" + "</div>" * depth for t in texts)
+    assert main_text(page(f"<div>{nests}</div><div><a href=1>more</a></div>")) == "\n".join(texts)
+
+
+@pytest.mark.parametrize("tag", ["div", "font"])
+def test_five_thousand_levels(tag):
+    assert PARA in main_text(f"<{tag}>" * 5000 + f"<p>{PARA}</p><p>{OTHER}</p>")
+    assert PARA in main_text(page(f"<article>{f'<{tag}>' * 5000}<p>{PARA}</p></article>"))
