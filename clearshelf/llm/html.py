@@ -124,20 +124,85 @@ def _dropped(node: Node) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or "", re.I):
         return True
-    if (attrs.get("role") or "").lower() in DROPPED_ROLES:
-        return True
+    return (attrs.get("role") or "").lower() in DROPPED_ROLES
+
+
+def _named(node: Node) -> bool:
+    """Has a name part of boilerplate?"""
+    attrs = node.attrs
+    if not attrs or node.tag in KEPT_TAGS:
+        return False
     names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
     return not DROPPED_NAMES.isdisjoint(_NAME.findall(_CAMEL.sub(" ", names).lower()))
 
 
-def _prune(root: Node) -> None:
+def _only_named(node: Node) -> bool:
+    """Has a name, as ``cookie-notice``, of parts of boilerplate alone? ``has-sidebar`` is none."""
+    tokens = f"{node.attrs.get('class') or ''} {node.attrs.get('id') or ''}".split()
+    parts = (_NAME.findall(_CAMEL.sub(" ", t).lower()) for t in tokens)
+    return any(p and DROPPED_NAMES.issuperset(p) for p in parts)
+
+
+def _is_main(node: Node) -> bool:
+    role = (node.attrs.get("role") or "").lower()
+    return node.tag == "main" or role == "main" or "articleBody" in (node.attrs.get("itemprop") or "")
+
+
+def _is_article(node: Node) -> bool:
+    return node.tag == "article" or (node.attrs.get("role") or "").lower() == "article"
+
+
+def _prune(root: Node, dropped) -> None:
     open_ = [root]
     while open_:
         node = open_.pop()
-        node.children = [c for c in node.children if isinstance(c, str) or not _dropped(c)]
+        node.children = [c for c in node.children if isinstance(c, str) or not dropped(c)]
         open_ += (c for c in node.children if not isinstance(c, str))
 
 
+def _prune_named(root: Node) -> None:
+    """Drop elements with a name of boilerplate, but none around the page's text.
+
+    An element stays that holds a main element, or an article with more points than any article
+    outside. On a page without articles or the like outside it, so does one with most of the
+    points; if its name is of boilerplate alone, only if all points are in it.
+    """
+    nodes = _upwards(root)
+    if not any(_named(n) for n in nodes):
+        return
+    _measure(nodes)
+    _score(nodes, [])
+    for node in nodes:
+        node.score = 0.0
+    place = {id(n): i for i, n in enumerate(nodes)}  # a subtree is a run that ends at its top
+    below: dict[int, int] = {}
+    for n in nodes:
+        below[id(n)] = 1 + sum(below[id(c)] for c in n.children if not isinstance(c, str))
+    mains = [place[id(n)] for n in nodes if _is_main(n)]
+    holders = [(place[id(n)], n) for n in nodes if _is_main(n) or _is_article(n)]
+
+    def dropped(node: Node) -> bool:
+        if not _named(node):
+            return False
+        end = place[id(node)]
+        start = end - below[id(node)] + 1
+        if any(start <= i <= end for i in mains):
+            return False
+        inside = outside = 0.0
+        for i, holder in holders:
+            if start <= i <= end:
+                inside = max(inside, holder.points)
+            else:
+                around = i > end and i - below[id(holder)] < start
+                outside = max(outside, holder.points - (node.points if around else 0.0))
+        if inside or outside > 1e-9:
+            return inside <= outside
+        share = 1 - 1e-9 if _only_named(node) else 0.5
+        return node.points <= share * root.points
+
+    _prune(root, dropped)
+
+
 def _upwards(root: Node) -> list[Node]:
     """All elements in the order of the page, each after those below it."""
     order, open_ = [], [root]
@@ -272,7 +337,8 @@ def main_text(html: str) -> str:
         html = html[:last]  # the page ends inside a tag
     tree.feed(html)
     tree.close()
-    _prune(tree.root)
+    _prune(tree.root, _dropped)
+    _prune_named(tree.root)
     nodes = _upwards(tree.root)
     _measure(nodes)
     scored: list[Node] = []

@@ -113,3 +113,25 @@ def test_paragraphs_in_nests_of_their_own(n, depth):
 def test_five_thousand_levels(tag):
     assert PARA in main_text(f"<{tag}>" * 5000 + f"<p>{PARA}</p><p>{OTHER}</p>")
     assert PARA in main_text(page(f"<article>{f'<{tag}>' * 5000}<p>{PARA}</p></article>"))
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["class='has-sidebar'", "class='with-sidebar x'", "class=no-ads", "class='page-header-fixed'",
+     "id='search-results'", "id=social-layout", "class=widget"],
+)
+def test_a_wrapper_is_not_dropped_by_its_name(name):
+    side = f"<div class=sidebar><p>{OTHER}</p></div>"
+    plain = f"<div><h1>Title</h1><p>{PARA}</p><p>Short.</p><p>{OTHER}</p></div>"
+    assert main_text(page(f"<div {name}>{ARTICLE}{side}</div>")) == TEXT
+    assert main_text(page(f"<div {name}><main>{plain}</main>{side}</div><p>us, all</p>")) == TEXT
+    if "widget" not in name:
+        assert main_text(page(f"<div {name}>{plain}{side}</div><div class=footer>us</div>")) == TEXT
+
+
+def test_comments_and_teasers_that_are_articles_go():
+    comment = f"<article><p>{PARA}</p></article>"
+    assert main_text(page(f"{ARTICLE}<div class=comments>{comment * 5}</div>")) == TEXT
+    inside = ARTICLE.replace("</article>", f"<div id=comments>{comment}</div></article>")
+    assert main_text(page(f"<div class=has-sidebar>{inside}</div>")) == TEXT
+    assert main_text(page("<div class=ad>Buy, buy</div><div><p>x</p></div>")) == "x"
