@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearshelf.llm import (
-    decontaminate, html, kneser_ney, mixing, secrets, sharding, simhash, syncmers, toxicity, warc,
+    decontaminate, fptree, html, kneser_ney, mixing, pivots, resampling, secrets, sharding, simhash,
+    syncmers, toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,10 +117,25 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_fptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fptree.rank_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op12_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resampling_scores(docs, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_warc, op2_toxicity, op3_decontamination, op4_html, op5_syncmers, op6_sharding,
-        op7_mixing, op8_simhash, op9_secrets, op10_kneser_ney,
+        op7_mixing, op8_simhash, op9_secrets, op10_kneser_ney, op11_fptree, op12_pivots,
+        op13_resampling,
     )
 }

@@ -10,7 +10,7 @@ from clearshelf.llm.queries import QUERIES
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     return connection
 
