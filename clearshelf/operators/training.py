@@ -1,40 +1,25 @@
-"""Demand model: gradient-boosted trees of Spark ML with early stopping on a validation split."""
+"""Demand model: encoded covariates and monotone boosted trees with early stopping on a validation split."""
 
 from __future__ import annotations
 
-import random
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
-from itertools import product
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearshelf.functions.numeric import finite
+from clearshelf.operators.boosting import BoostedTrees, BoostParams, fit_boosted, importance
 from clearshelf.operators.encoding import apply_codes, category_codes, target_prior
+from clearshelf.operators.second_level import DISCOUNTS
+from clearshelf.operators.tuning import SEARCHED, TRIALS, Space, tune_boosted
 
 # The encoded categories.
 ENCODED = ("club_nbr", "department_nbr", "subclass_nbr", "week", "month")
+# Covariates with which predictions must not fall.
+CONSTRAINED = ("num_weeks", *DISCOUNTS)
 MISSING = -999.0
-
-
-@dataclass(frozen=True)
-class TreeParams:
-    """Boosting parameters, by default those of a production fit; a smaller fit is the caller's
-    choice. Depth is limited to 30 by Spark."""
-
-    trees: int = 600
-    depth: int = 20
-    rate: float = 0.04
-    rows: float = 0.8
-    columns: float = 0.6
-    #: Boosting stops when the error on the validation rows falls by less than this.
-    tolerance: float = 0.01
-    seed: int = 123
+TreeParams = BoostParams
 
 
 @dataclass(frozen=True)
@@ -74,7 +59,7 @@ class DemandModel:
     """Encoder and trees: a scorer for rows that hold the covariates as they are."""
 
     encoder: Encoder
-    trees: PipelineModel
+    trees: BoostedTrees
 
     def __call__(self, samples: DataFrame) -> DataFrame:
         """``samples`` with ``prediction``; their own columns stay as they were."""
@@ -84,6 +69,10 @@ class DemandModel:
         return scored.select("_own.*", "prediction")
 
 
+def _rising(covariates: Sequence[str], constrained: Sequence[str]) -> list[str]:
+    return [c for c in covariates if c in constrained]
+
+
 def train_model(
     train: DataFrame,
     val: DataFrame,
@@ -91,32 +80,14 @@ def train_model(
     covariates: Sequence[str],
     params: TreeParams = TreeParams(),
     target: str = "target",
-) -> PipelineModel:
+    constrained: Sequence[str] = CONSTRAINED,
+) -> BoostedTrees:
     """Fit on ``train``; boosting stops when the error on ``val`` no longer falls.
 
-    Both inputs hold encoded covariates.
+    Both inputs hold encoded covariates. Predictions never fall with those that are ``constrained``.
     """
-    columns = [*covariates, target]
-    both = (
-        train.select(*columns)
-        .withColumn("is_val", F.lit(False))
-        .unionByName(val.select(*columns).withColumn("is_val", F.lit(True)))
-    )
-    trees = GBTRegressor(
-        featuresCol="features",
-        labelCol=target,
-        predictionCol="prediction",
-        validationIndicatorCol="is_val",
-        validationTol=params.tolerance,
-        maxIter=params.trees,
-        maxDepth=params.depth,
-        stepSize=params.rate,
-        subsamplingRate=params.rows,
-        featureSubsetStrategy=str(params.columns),
-        seed=params.seed,
-    )
-    assembler = VectorAssembler(inputCols=list(covariates), outputCol="features")
-    return Pipeline(stages=[assembler, trees]).fit(both)
+    rising = _rising(covariates, constrained)
+    return fit_boosted(train, val, covariates=covariates, rising=rising, params=params, target=target)
 
 
 def tune_model(
@@ -124,40 +95,25 @@ def tune_model(
     val: DataFrame,
     *,
     covariates: Sequence[str],
-    rates: Sequence[float],
-    depths: Sequence[int],
-    rows: Sequence[float] | None = None,
-    columns: Sequence[float] | None = None,
-    trials: int | None = None,
+    space: Space = SEARCHED,
+    trials: int = TRIALS,
+    start: int = 8,
     base: TreeParams = TreeParams(),
     target: str = "target",
+    constrained: Sequence[str] = CONSTRAINED,
 ) -> DataFrame:
-    """Validation MAE of parameter settings, best first; one distributed fit per setting.
+    """Validation MAE of the parameter settings of a sequential search, best first.
 
-    The grid spans learning rate, depth and the shares of rows and columns of a tree. ``trials``
-    draws that many settings of the grid at random, by the seed of ``base``.
+    ``space`` names the values of each searched parameter: learning rate, depth, the shares of rows
+    and columns of a tree, L2. The first ``start`` trials are drawn at random.
     """
-    grid = list(product(rates, depths, rows or (base.rows,), columns or (base.columns,)))
-    if trials is not None and trials < len(grid):
-        grid = random.Random(base.seed).sample(grid, trials)
-    spark: SparkSession = train.sparkSession
-    mae = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="mae")
-    done = []
-    for rate, depth, row_share, column_share in grid:
-        params = replace(base, rate=rate, depth=depth, rows=row_share, columns=column_share)
-        model = train_model(train, val, covariates=covariates, params=params, target=target)
-        error = float(mae.evaluate(model.transform(val)))
-        done.append((rate, depth, row_share, column_share, error))
-    done.sort(key=lambda t: t[-1])
-    return spark.createDataFrame(
-        done,
-        "learning_rate double, max_depth int, row_share double, column_share double, val_mae double",
+    return tune_boosted(
+        train, val, covariates=covariates, rising=_rising(covariates, constrained), space=space,
+        trials=trials, start=start, base=base, target=target,
     )
 
 
-def feature_importance(model: PipelineModel, *, covariates: Sequence[str]) -> DataFrame:
-    """Importance of each covariate in the fitted trees."""
-    spark = SparkSession.active()
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    rows = list(zip(covariates, weights, strict=True))
-    return spark.createDataFrame(rows, "covariate string, importance double")
+def feature_importance(model: BoostedTrees) -> DataFrame:
+    """Importance of each covariate: its share of the gain of all splits."""
+    rows = list(importance(model).items())
+    return SparkSession.active().createDataFrame(rows, "covariate string, importance double")

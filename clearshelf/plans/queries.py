@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clearshelf.functions.numeric import finite, ratio
+from clearshelf.operators import boosting as bo
 from clearshelf.operators import cart
 from clearshelf.operators import disaggregation as dg
 from clearshelf.operators import elasticity as el
@@ -611,12 +612,10 @@ def tune_model(ws):
         encoded.where(F.col("split") == "train"),
         encoded.where(F.col("split") == "val"),
         covariates=sa.COVARIATES,
-        rates=(0.1, 0.3),
-        depths=(2, 4),
-        rows=(0.6, 0.8),
-        columns=(0.6, 0.9),
+        space={**tr.SEARCHED, "rate": (0.1, 0.2, 0.3), "depth": (2, 3, 4)},
         trials=4,
-        base=dataclasses.replace(SMALL_FIT, trees=10),
+        start=2,
+        base=dataclasses.replace(SMALL_FIT, trees=8),
     )
 
 
@@ -633,14 +632,17 @@ def monotone_envelope(ws):
 @query
 def feature_importance(ws):
     _, model = _model(ws)
-    return tr.feature_importance(model.trees, covariates=sa.COVARIATES)
+    return tr.feature_importance(model.trees)
 
 
 SAMPLE_KEY = ("mds_fam_id", "item_nbr", "club_nbr", "date", "item_on_shelf_date_dt")
 
 
 def _fitted_predictions(ws: Workspace) -> DataFrame:
-    """The test, planned and manual sets scored by the fitted model; more weeks never sell less."""
+    """The test, planned and manual sets scored by the fitted model; more weeks never sell less.
+
+    The envelope is for what changes along with the weeks: a sample's later horizons have other
+    discounts and another stock in weeks of demand."""
     if "_fitted_predictions" not in ws.__dict__:
         _, model = _model(ws)
         sets = {
@@ -698,17 +700,60 @@ def score_fitted_checks(ws):
 
 @query
 def grid_fitted_checks(ws):
-    """The model on the discount grid: no deeper discount may sell less."""
+    """The model on the discount grid, as it is: no deeper discount may sell less."""
     _, model = _model(ws)
     grid = so.grid_score(el.discount_grid(ws.manual_eval, horizon=1), model)
-    rising = so.monotone_envelope(grid, by=el.SAMPLE, order_by="discount")
-    value = F.col("monotone_predicted_sale")
+    value = F.col("predicted_sale")
     before = F.lag(value).over(Window.partitionBy(*el.SAMPLE).orderBy("discount"))
-    return rising.withColumn("_before", before).agg(
+    return grid.withColumn("_before", before).agg(
         F.count("*").alias("n_rows"),
         F.count_if(value.isNull() | (value < 0)).alias("n_negative"),
         F.count_if(value < F.col("_before")).alias("n_falling"),
-        F.count_if(value < F.col("predicted_sale")).alias("n_below_own"),
+        F.count_if(F.col("cap_predicted_sale") > value + 0.005).alias("n_below_own"),
+    )
+
+
+@query
+def boost_histogram(ws):
+    """Gradient sums and row counts of the first level: what the first split is chosen from."""
+    encoded, model = _model(ws)
+    trees = model.trees
+    train = encoded.where(F.col("split") == "train")
+    rows = bo.with_bins(train, trees.covariates, trees.cuts).select(
+        F.lit(0).alias("node"), "_bins", bo.gradient(F.lit(trees.base), F.col("target")).alias("_g")
+    )
+    names = F.array(*map(F.lit, trees.covariates))
+    return bo.histogram(rows, range(len(trees.covariates))).select(
+        names[F.col("f")].alias("covariate"), "bin", F.col("g").alias("gradient_sum"), F.col("n").alias("n_rows")
+    )
+
+
+@query
+def monotone_probes(ws):
+    """Predictions of held-out rows, and of rows whose covariates are drawn anew, along each constrained
+    covariate alone; nothing is made monotone afterwards."""
+    encoded, model = _model(ws)
+    held = encoded.where(F.col("split") == "test").select(*sa.COVARIATES)
+    spread = {
+        c: F.pmod(F.xxhash64(*sa.COVARIATES, F.lit(c)), F.lit(2001)) / F.lit(50.0) - 20.0 for c in sa.COVARIATES
+    }
+    sets = held.withColumn("dataset", F.lit("test")).unionByName(
+        held.select(*[v.alias(c) for c, v in spread.items()], F.lit("random").alias("dataset"))
+    )
+    probes = ws.stage(sets.withColumn("probe", F.monotonically_increasing_id()), "probes")
+    raised = None
+    for name in tr.CONSTRAINED:
+        levels = [i / 10 for i in range(10)] if name != "num_weeks" else [float(i) for i in range(1, 11)]
+        one = probes.select(
+            "dataset", "probe", F.lit(name).alias("covariate"), *[c for c in sa.COVARIATES if c != name],
+            F.explode(F.array(*map(F.lit, levels))).alias(name),
+        ).withColumn("level", F.col(name))
+        raised = one if raised is None else raised.unionByName(one)
+    scored = model.trees.transform(raised)
+    before = F.lag("prediction").over(Window.partitionBy("dataset", "covariate", "probe").orderBy("level"))
+    return scored.withColumn("_before", before).groupBy("dataset", "covariate").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("prediction") < F.col("_before")).alias("n_falling"),
     )
 
 

@@ -43,15 +43,15 @@ def test_fitted_scorer_encodes_and_keeps_the_rows_own_columns(spark):
     assert scored.where("club_nbr = 99 AND prediction IS NOT NULL").count() == 1
 
 
-def test_search_draws_the_asked_number_of_trials(spark):
+def test_search_runs_the_asked_number_of_trials(spark):
     rows = _rows(spark, 60)
     encoded = tr.fit_encoder(rows, covariates=NAMES).encode(rows)
+    space = {"rate": (0.1, 0.3), "depth": (2, 3), "rows": (0.5, 0.9), "columns": (0.5, 1.0), "l2": (3.1, 10.1)}
     trials = tr.tune_model(
-        encoded, encoded, covariates=NAMES, rates=(0.1, 0.3), depths=(2, 3), rows=(0.5, 0.9),
-        columns=(0.5, 1.0), trials=2, base=tr.TreeParams(trees=2),
+        encoded, encoded, covariates=NAMES, space=space, trials=2, base=tr.TreeParams(trees=2)
     ).collect()
-    assert len(trials) == 2
-    assert len({tuple(t)[:-1] for t in trials}) == 2
+    assert [t.trial for t in sorted(trials)] == [0, 1]
+    assert len({tuple(t)[1:6] for t in trials}) == 2
 
 
 def test_workspace_leaves_nothing_behind(spark, sf_dir, tmp_path):
