@@ -192,7 +192,8 @@ def drop_near_duplicates(
     rows = stage(similar.with_bands(whole), "shingles").withColumn("_order", _order(id_col))
     reps = stage(
         rows.groupBy(F.col("_set").alias("node")).agg(
-            F.min("_order").alias("first"), F.any_value("_bands").alias("bands")
+            F.min("_order").alias("first"), F.any_value("_size").alias("size"),
+            F.any_value("_bands").alias("bands"),
         ),
         "sets",
     )

@@ -1,6 +1,7 @@
 """Near copies against brute-force Jaccard of five-word shingles."""
 
 import random
+import re
 
 from clearshelf.llm import simhash, similar
 
@@ -9,7 +10,7 @@ def brute_kept(texts):
     """Smallest id of each component of pairs with a similarity of 0.8 or more."""
     sets = {}
     for i, text in texts.items():
-        w = text.lower().split()
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", text.encode().lower().decode()) if x]
         sets[i] = {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
     parent = {i: i for i in texts}
 
@@ -22,6 +23,8 @@ def brute_kept(texts):
     for n, i in enumerate(ids):
         for j in ids[n + 1 :]:
             a, b = sets[i], sets[j]
+            if find(i) == find(j) or 5 * min(len(a), len(b)) < 4 * max(len(a), len(b)):
+                continue
             if a == b or 5 * len(a & b) >= 4 * len(a | b):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
@@ -63,3 +66,34 @@ def test_crowded_lists_equal_brute_force(spark, docs_of, monkeypatch):
     rng.shuffle(texts)
     by_id = dict(enumerate(texts))
     assert kept(docs_of, by_id) == brute_kept(by_id)
+
+
+def test_a_crowd_without_near_copies_makes_no_pairs(spark, docs_of, monkeypatch):
+    """Texts that share most of their words, each with a twentieth or more of its words changed."""
+    monkeypatch.setattr(similar, "PAIRED", 3)
+    rng = random.Random(6)
+    texts = [t for t in family(rng, 300, 300, 22) if t.count("x") > 13]
+    by_id = dict(enumerate(texts))
+    made = []
+    unsettled = similar._unsettled
+
+    def counted(members, edges):
+        found = unsettled(members, edges)
+        made.append((members.select("m").distinct().count(), found.count()))
+        return found
+
+    monkeypatch.setattr(similar, "_unsettled", counted)
+    assert kept(docs_of, by_id) == brute_kept(by_id) == set(by_id)
+    crowd, pairs = made[0]
+    assert crowd > 50 and pairs == 0
+
+
+def test_shingles_held_alone_bound_the_similarity(spark):
+    rows = spark.createDataFrame(
+        [(146, 20, 146, 0), (146, 15, 146, 0), (146, 0, 146, 0), (10, 0, 20, 0), (0, 0, 0, 0)],
+        "a long, b long, c long, d long",
+    )
+    x, y = similar.F.struct(rows["a"].alias("size"), rows["b"].alias("alone")), similar.F.struct(
+        rows["c"].alias("size"), rows["d"].alias("alone"))
+    found = [r[0] for r in rows.select(similar._may_be_alike(x, y)).collect()]
+    assert found == [False, True, True, False, True]
