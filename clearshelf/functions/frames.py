@@ -1,10 +1,8 @@
-"""Day-range windows over an entity's series."""
+"""Keys and day numbers of an entity's series."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PANEL_KEYS = ("club_nbr", "mds_fam_id")
@@ -13,9 +11,3 @@ PANEL_KEYS = ("club_nbr", "mds_fam_id")
 def day_number() -> Column:
     """Days since 1970-01-01: an integer order column, so frames count days in any time zone."""
     return F.unix_date(F.col("date"))
-
-
-def day_range(first: int, last: int, keys: Sequence[str] = PANEL_KEYS) -> WindowSpec:
-    """Rows of the same entity dated ``date + first`` to ``date + last``, both included."""
-    return Window.partitionBy(*keys).orderBy(day_number()).rangeBetween(first, last)
-

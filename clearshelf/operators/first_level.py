@@ -61,21 +61,54 @@ def shelf_sessions(inv: DataFrame) -> DataFrame:
     ).agg(F.max("snapshot_date").alias("max_snapshot_date"))
 
 
+def session_islands(sessions: DataFrame) -> DataFrame:
+    """Sessions of an item and club joined into stretches of days that do not meet: ``_first`` and
+    ``_last`` day, and the ``_sessions`` in it (one, unless sessions overlap).
+
+    Sessions without a key or of no day cover nothing and are left out.
+    """
+    start, end = F.col("item_on_shelf_date_dt"), F.col("max_snapshot_date")
+    real = sessions.where(F.col("mds_fam_id").isNotNull() & F.col("club_nbr").isNotNull() & (start <= end))
+    by_start = Window.partitionBy("mds_fam_id", "club_nbr").orderBy(start, end)
+    before = F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (before.isNull() | (start > before)).cast("int")
+    numbered = real.withColumn("_opens", opens).withColumn("_island", F.sum("_opens").over(by_start))
+    return numbered.groupBy("mds_fam_id", "club_nbr", "_island").agg(
+        F.min(start).alias("_first"),
+        F.max(end).alias("_last"),
+        F.collect_list(F.struct("item_on_shelf_date_dt", "max_snapshot_date")).alias("_sessions"),
+    )
+
+
 def shelf_interval_join(daily: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Left join each day to every shelf session that covers it.
+    """Left join each day to every shelf session that covers it, by one sweep over an item and club.
 
-    The item and club keys keep it a hash-partitioned join; only the date range is residual.
+    Days and stretches of sessions are put in order of their days. A day looks back to the newest
+    stretch, the only one that can cover it, and takes its covering sessions: a row meets the
+    sessions that overlap around its day, never all of its entity. The rows stay partitioned by item
+    and club. Days without a key match nothing.
     """
-    day, shelf = daily.alias("d"), sessions.alias("s")
-    covered = (
-        (F.col("d.mds_fam_id") == F.col("s.mds_fam_id"))
-        & (F.col("d.club_nbr") == F.col("s.club_nbr"))
-        & (F.col("d.date") >= F.col("s.item_on_shelf_date_dt"))
-        & (F.col("d.date") <= F.col("s.max_snapshot_date"))
+    islands = session_islands(sessions).select(
+        "mds_fam_id", "club_nbr", F.col("_first").alias("date"), F.struct("_last", "_sessions").alias("_island")
+    )
+    order = Window.partitionBy("mds_fam_id", "club_nbr").orderBy("date", F.col("_own").asc())
+    newest = F.last("_island", ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    swept = (
+        daily.withColumn("_own", F.lit(True))
+        .unionByName(islands.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+        .withColumn("_newest", newest)
+        .where("_own")
     )
-    return day.join(shelf, covered, "left").select(
-        "d.*", "s.item_on_shelf_date_dt", "s.max_snapshot_date"
+    keyed = F.col("mds_fam_id").isNotNull() & F.col("club_nbr").isNotNull()
+    day = F.when(keyed, F.col("date"))
+    covering = F.filter(
+        "_newest._sessions",
+        lambda s: (s["item_on_shelf_date_dt"] <= day) & (s["max_snapshot_date"] >= day),
     )
+    found = swept.withColumn("_covering", covering).select(*daily.columns, F.explode_outer("_covering").alias("_s"))
+    return found.select(*daily.columns, "_s.item_on_shelf_date_dt", "_s.max_snapshot_date")
 
 
 def active_pair_scaffold(panel: DataFrame, *, today: date, active_start: date) -> DataFrame:

@@ -7,12 +7,15 @@ from datetime import date, datetime
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearshelf.functions.calendar import with_us_calendar
-from clearshelf.functions.frames import PANEL_KEYS, day_range
-from clearshelf.functions.numeric import INF, from_hundredths, half_up_sql, hundredths, ratio
+from clearshelf.functions.frames import PANEL_KEYS, day_number
+from clearshelf.functions.numeric import INF, half_up_sql, hundredths, ratio
+from clearshelf.functions.sliding import sliding_extremes
 from clearshelf.operators.first_level import ENTITY
 from clearshelf.params import (
     BACK_WEEKS,
@@ -21,6 +24,7 @@ from clearshelf.params import (
     WEEK_UNITS_FLOOR,
     WEEKLY_UNITS_FLOOR,
 )
+from clearshelf.session import ship_package
 
 BACK = range(1, BACK_WEEKS + 1)
 NEXT = range(1, HORIZONS + 1)
@@ -72,24 +76,37 @@ def half_year_stats(
 ) -> DataFrame:
     """Largest, smallest and lower-median daily price and units of the last half year.
 
-    One sorted list per frame gives all three: a frame holds a value per day and session, and
-    sorting it is several times cheaper than feeding six running aggregates row by row.
+    One pass over each entity keeps the values of the moving range in order. An entity has a row per
+    day and session; grouping by ``keys`` takes over the partitioning of windows that came before.
+    Prices and units are whole hundredths on the way.
     """
-    window = day_range(-days, 0, keys)
-    sources = {"price": ("unit_price_amt", "amt"), "unit": ("unit_sold_cnt", "nbr")}
-    lists = {
-        f"_{what}": F.sort_array(F.collect_list(hundredths(F.col(column))).over(window))
-        for what, (column, _) in sources.items()
+    ship_package(panel.sparkSession)
+    sources = {
+        "_half_year_day": F.coalesce(day_number(), F.lit(-(1 << 30))),
+        "_half_year_price": hundredths(F.col("unit_price_amt")),
+        "_half_year_unit": hundredths(F.col("unit_sold_cnt")),
     }
-    stats = {}
-    for what, (_, suffix) in sources.items():
-        values = F.col(f"_{what}")
-        lower_median = F.greatest(F.ceil(F.size(values) / 2).cast("int"), F.lit(1))
-        for stat, place in (("max", F.lit(-1)), ("min", F.lit(1)), ("median", lower_median)):
-            stats[f"{stat}_{what}_6_month_last_{suffix}"] = from_hundredths(
-                F.try_element_at(values, place)
-            )
-    return panel.withColumns(lists).withColumns(stats).drop(*lists)
+    names = [
+        f"{stat}_{what}_6_month_last_{suffix}"
+        for what, suffix in (("price", "amt"), ("unit", "nbr"))
+        for stat in ("max", "min", "median")
+    ]
+    rows = panel.withColumns(sources)
+    width = len(panel.columns)
+
+    def swept(entity: pa.Table) -> pa.Table:
+        day = entity.column(width).to_numpy()
+        found = []
+        for i in (1, 2):
+            found += sliding_extremes(day, entity.column(width + i).to_pylist(), days)
+        kept = entity.select(range(width))
+        for name, values in zip(names, found):
+            cents = [None if v is None else v / 100.0 for v in values]
+            kept = kept.append_column(name, pa.array(cents, pa.float64()))
+        return kept
+
+    schema = T.StructType([*panel.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    return rows.groupBy(*keys).applyInArrow(swept, schema)
 
 
 def row_extremes(panel: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Hand-made panels: frame bounds, interval fan-out, scaffold rows."""
 
+import random
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -84,6 +85,66 @@ def test_overlapping_sessions_fan_rows_out(spark):
     ]
 
 
+SESSIONS = "mds_fam_id int, club_nbr int, item_on_shelf_date_dt date, max_snapshot_date date"
+
+
+def test_shelf_sessions_equal_a_comparison_of_all(spark):
+    rng = random.Random(11)
+
+    def day(n):
+        return D + timedelta(days=n)
+
+    entities = [(i, c) for i in (1, 2, 3, None) for c in (1, None)]
+    sessions = [(*rng.choice(entities), day(a), day(a + rng.randrange(-2, 12))) for a in rng.choices(range(90), k=60)]
+    sessions += [(1, 1, None, D), (1, 1, D, None), (3, 1, day(0), day(80)), (3, 1, day(0), day(80))]
+    days = [(*rng.choice(entities), day(a), Decimal(i), 1.0) for i, a in enumerate(rng.choices(range(-5, 99), k=200))]
+    days += [(1, 1, None, Decimal(999), 1.0)]
+    expected = []
+    for row in days:
+        item, club, d = row[:3]
+        met = [
+            s[2:] for s in sessions
+            if None not in (item, club, d, *s) and s[:2] == (item, club) and s[2] <= d <= s[3]
+        ]
+        expected += [(*row, *s) for s in met or [(None, None)]]
+    joined = fl.shelf_interval_join(spark.createDataFrame(days, SALES), spark.createDataFrame(sessions, SESSIONS))
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_ten_years_of_sessions_make_no_pairs(spark):
+    """Each day looks at the sessions around it alone."""
+    weeks = [(1, 1, D + timedelta(days=7 * k), D + timedelta(days=7 * k + 8)) for k in range(520)]
+    islands = fl.session_islands(spark.createDataFrame([(*w[:3], w[2] + timedelta(days=5)) for w in weeks], SESSIONS))
+    assert {len(r._sessions) for r in islands.collect()} == {1} and islands.count() == 520
+    panel = _panel(spark, [(d, 1, 5) for d in range(3640)])
+    joined = fl.shelf_interval_join(panel, spark.createDataFrame(weeks, SESSIONS))
+    assert joined.count() == 3640 + 2 * 519
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Window") >= 1
+
+
+def test_half_year_equals_sorting_every_range(spark):
+    rng = random.Random(12)
+    offsets = [(rng.randrange(900), rng.randrange(50), rng.randrange(1, 30) / 4) for _ in range(400)]
+    panel = _panel(spark, offsets).withColumn("unit_price_amt", F.when(F.col("unit_sold_cnt") > 3, F.col("unit_price_amt")))
+    for r in sl.half_year_stats(panel).collect():
+        near = [(u, p) for o, u, p in offsets if 0 <= (r.date - D).days - o <= 167]
+        units, prices = sorted(u for u, _ in near), sorted(p for u, p in near if u > 3)
+        assert (r.min_unit_6_month_last_nbr, r.max_unit_6_month_last_nbr) == (units[0], units[-1])
+        assert r.median_unit_6_month_last_nbr == units[(len(units) - 1) // 2]
+        middle = prices[(len(prices) - 1) // 2] if prices else None
+        assert r.median_price_6_month_last_amt == middle
+
+
+def test_half_year_of_odd_panels(spark):
+    empty = sl.half_year_stats(_panel(spark, []).withColumn("_day", F.lit("own")))
+    assert empty.count() == 0
+    rows = [(None, 1, D, Decimal(1), 2.0), (None, 1, D, Decimal(3), 4.0), (1, None, None, None, None), (1, None, D, Decimal(7), None)]
+    found = sl.half_year_stats(spark.createDataFrame(rows, SALES)).collect()
+    assert sorted(str(r.max_unit_6_month_last_nbr) for r in found) == ["3.0", "3.0", "7.0", "None"]
+    assert len(found) == 4
+
+
 BASE = (
     "mds_fam_id int, club_nbr int, department_nbr int, subclass_nbr int, item_nbr int, date date, "
     "unit_sold_cnt decimal(18,2), inventory_qty int"
