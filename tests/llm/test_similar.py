@@ -2,6 +2,9 @@
 
 import random
 import re
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from clearshelf.llm import simhash, similar
 
@@ -88,12 +91,22 @@ def test_a_crowd_without_near_copies_makes_no_pairs(spark, docs_of, monkeypatch)
     assert crowd > 50 and pairs == 0
 
 
-def test_shingles_held_alone_bound_the_similarity(spark):
-    rows = spark.createDataFrame(
-        [(146, 20, 146, 0), (146, 15, 146, 0), (146, 0, 146, 0), (10, 0, 20, 0), (0, 0, 0, 0)],
-        "a long, b long, c long, d long",
-    )
-    x, y = similar.F.struct(rows["a"].alias("size"), rows["b"].alias("alone")), similar.F.struct(
-        rows["c"].alias("size"), rows["d"].alias("alone"))
-    found = [r[0] for r in rows.select(similar._may_be_alike(x, y)).collect()]
-    assert found == [False, True, True, False, True]
+def test_what_sets_share_bounds_their_similarity(spark):
+    """The bound never lies below the similarity, and tells edits in different places apart."""
+    rng = random.Random(9)
+    texts = family(rng, 40, 150, 6) + family(rng, 20, 60, 3)
+    sets = [set(similar.shingles(t.encode()).view("int64").tolist()) for t in texts]
+    count = Counter(x for s in sets for x in s)
+    rows = []
+    for i, s in enumerate(sets):
+        alone = {x for x in s if count[x] == 1}
+        held = Counter(x % similar.PARTS for x in s - alone)
+        rows.append((i, (len(s), len(alone), [held[p] for p in range(similar.PARTS)])))
+    df = spark.createDataFrame(rows, "i int, of struct<size:long,alone:long,held:array<int>>")
+    x, y = df.select(F.col("i").alias("x"), F.col("of").alias("ox")), df.select(F.col("i").alias("y"), F.col("of").alias("oy"))
+    met = x.join(y, F.col("x") < F.col("y")).where(similar._may_be_alike(F.col("ox"), F.col("oy")))
+    found = {(r.x, r.y) for r in met.collect()}
+    pairs = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))}
+    alike = {(i, j) for i, j in pairs if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert alike <= found and len(alike) > 50
+    assert len(found - alike) < 0.2 * len(alike)
