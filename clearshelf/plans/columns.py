@@ -216,6 +216,11 @@ COLUMNS: dict[str, list[str]] = {
     "conform_schema": [*ROW, "unit_price_amt", *PRICE_BACK, *RATIOS],
     "second_level_features": SECOND,
     "latest_features": [*ROW, "item_nbr:i", WEEKLY_UNITS, "inventory_qty"],
+    "latest_materialized": [*ROW, "item_nbr:i", WEEKLY_UNITS, "inventory_qty"],
+    "point_in_time": [
+        "item_nbr:i", "club_nbr:i", "markdown_start_date_dt:t", "feature_date:t", "inventory_qty",
+        WEEKLY_UNITS, "median_price_6_month_last_amt",
+    ],
     "discount_fill_filter": [*ROW, *DISCOUNTS],
     "any_future_sales": [*ROW, *UNITS_NEXT],
     "discount_weight": [*ROW, "weights"],

@@ -349,6 +349,21 @@ SELECT * FROM second_level_features WHERE date BETWEEN {END} - 2 AND {END}
 QUALIFY row_number() OVER (
   PARTITION BY mds_fam_id, club_nbr ORDER BY date DESC, item_on_shelf_date_dt DESC NULLS LAST) = 1"""
 
+CTE["latest_materialized"] = f"""
+SELECT * FROM second_level_features WHERE date BETWEEN {END} - 4 AND {END}
+QUALIFY row_number() OVER (
+  PARTITION BY mds_fam_id, club_nbr ORDER BY date DESC, item_on_shelf_date_dt DESC NULLS LAST) = 1"""
+CTE["asked_starts"] = """
+SELECT row_number() OVER () AS asked, item_nbr, club_nbr, markdown_start_date_dt FROM manual_markdowns"""
+CTE["point_in_time"] = """
+SELECT m.item_nbr, m.club_nbr, m.markdown_start_date_dt, f.date AS feature_date, f.inventory_qty,
+       f.avg_weekly_unit_sold_1_month_back_cnt, f.median_price_6_month_last_amt
+FROM asked_starts m LEFT JOIN second_level_features f
+  ON f.item_nbr = m.item_nbr AND f.club_nbr = m.club_nbr
+  AND f.date BETWEEN m.markdown_start_date_dt - 14 AND m.markdown_start_date_dt
+QUALIFY row_number() OVER (PARTITION BY m.asked
+  ORDER BY f.date DESC NULLS LAST, f.item_on_shelf_date_dt DESC NULLS LAST, f.mds_fam_id DESC) = 1"""
+
 # --- samples --------------------------------------------------------------------------------
 
 CTE["second"] = f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from clearshelf.operators import elasticity as el
 from clearshelf.operators import encoding as en
 from clearshelf.operators import evaluation as ev
 from clearshelf.operators import first_level as fl
+from clearshelf.operators import materialize as ma
 from clearshelf.operators import quality as dq
 from clearshelf.operators import sampling as sa
 from clearshelf.operators import scans as sc
@@ -187,15 +188,17 @@ def extract_parquet(ws):
 @query
 def append_results(ws):
     path = ws.path("results")
-    for frame in (ws.manual_predictions(), ws.planned_predictions()):
-        tb.append_results(frame, path, schema=RESULT_SCHEMA, run_date=ws.params.run_date)
-    return ws.spark.read.schema(RESULT_SCHEMA).parquet(path)
+    names = [f.name for f in RESULT_SCHEMA if f.name != "run_date"]
+    both = ws.manual_predictions().select(names).unionByName(ws.planned_predictions().select(names))
+    for _ in range(2):  # a night that is run again
+        tb.append_results(both, path, schema=RESULT_SCHEMA, run_date=ws.params.run_date)
+    return tb.read_results(ws.spark, path, schema=RESULT_SCHEMA)
 
 
 def _appended(ws: Workspace, report: DataFrame, schema: T.StructType, name: str) -> DataFrame:
     path = ws.path(name)
     tb.append_results(report, path, schema=schema, run_date=ws.params.run_date)
-    return ws.spark.read.schema(schema).parquet(path)
+    return tb.read_results(ws.spark, path, schema=schema)
 
 
 @query
@@ -399,6 +402,39 @@ def latest_features(ws):
     return sl.latest_features(ws.second, as_of=ws.params.run_date)
 
 
+@query
+def latest_materialized(ws):
+    """The stored table of newest rows after three nights, the last of them run twice."""
+    path, day = ws.path("latest"), ws.params.run_date
+    for nights_ago in (2, 1, 0, 0):
+        ma.upsert_latest(ws.second, path, as_of=day - timedelta(days=nights_ago))
+    return ma.read_latest(ws.spark, path)
+
+
+POINT_IN_TIME = ("inventory_qty", sl.WEEKLY_UNITS, sl.MEDIAN_PRICE)
+
+
+@query
+def point_in_time(ws):
+    """Features as they were known at the start of each manual markdown."""
+    start = F.col("markdown_start_date_dt").cast("timestamp").alias("event_timestamp")
+    found = ma.point_in_time(
+        ws.manual().select("item_nbr", "club_nbr", start),
+        ws.second,
+        columns=POINT_IN_TIME,
+        max_age_days=14,
+        keys=("item_nbr", "club_nbr"),
+        ties=("item_on_shelf_date_dt", "mds_fam_id"),
+    )
+    return found.select(
+        "item_nbr",
+        "club_nbr",
+        F.to_date("event_timestamp").alias("markdown_start_date_dt"),
+        F.to_date("feature_timestamp").alias("feature_date"),
+        *POINT_IN_TIME,
+    )
+
+
 # --- samples --------------------------------------------------------------------------------
 
 

@@ -53,11 +53,32 @@ def extract_parquet(frames: Mapping[str, DataFrame], root: str) -> dict[str, str
     return paths
 
 
+def replace_partitions(df: DataFrame, path: str, *, by: Sequence[str]) -> None:
+    """Replace the partitions of ``path`` that ``df`` has rows of; all others stay as they are.
+
+    Files take their place when the whole job has succeeded: a run that fails half-way changes nothing.
+    """
+    write = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    write.partitionBy(*by).parquet(path)
+
+
 def append_results(df: DataFrame, path: str, *, schema: T.StructType, run_date: date) -> None:
-    """Project a result table to its fixed schema, stamp ``run_date`` as text and append it."""
+    """Project a result table to its fixed schema, stamp ``run_date`` as text and publish it.
+
+    The table is kept by ``run_date``, so a repeated run of a date takes the place of the one before.
+    A run publishes all its rows at once, also if it has none. Read with ``read_results``.
+    """
     stamped = df.withColumn("run_date", F.lit(run_date.isoformat()))
     projected = stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-    write_table(projected, path, mode="append")
+    rows = stage(projected, "results")
+    replace_partitions(rows, path, by=["run_date"])
+    if rows.isEmpty():
+        remove(df.sparkSession, f"{path}/run_date={run_date.isoformat()}")
+
+
+def read_results(spark: SparkSession, path: str, *, schema: T.StructType) -> DataFrame:
+    """A table of ``append_results``, of all runs."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def append_log(log: DataFrame, path: str) -> None:
@@ -72,6 +93,13 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at ``path``, on whatever file system it is?"""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 

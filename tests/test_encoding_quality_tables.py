@@ -67,7 +67,7 @@ def test_results_are_projected_stamped_and_appended(spark, tmp_path):
     path = str(tmp_path / "r")
     for day in (1, 2):
         tb.append_results(df, path, schema=schema, run_date=date(2001, 1, day))
-    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [
+    assert sorted(tuple(r) for r in tb.read_results(spark, path, schema=schema).collect()) == [
         (1.0, "2001-01-01"), (1.0, "2001-01-02"),
     ]
 
@@ -105,7 +105,8 @@ def test_scan_is_pruned_and_filtered(ws):
 
 
 def test_features_need_no_exchange_after_the_shelf_join(ws):
-    """Scaffold rows and all windows run on the partitioning of the item-club join."""
+    """Shelf sessions, scaffold rows and all windows run on one partitioning by item and club."""
     plan = _plan(QUERIES["first_level_features"](ws))
-    top = plan[: plan.index("SortMergeJoin")] if "SortMergeJoin" in plan else plan
-    assert top.count("Exchange") == 0
+    top = plan[: plan.index("Union")]
+    assert top.count("Exchange hashpartitioning") == 1
+    assert "Join" not in top
