@@ -19,7 +19,7 @@ from clearshelf.operators import second_level as sl
 from clearshelf.params import PLAN_STATUS
 from clearshelf.operators.scoring import closed_form_scorer, score_sales
 from clearshelf.sources.retail import PARAMS, RetailTables
-from clearshelf.sources.tables import remove, shared_folder, stage
+from clearshelf.sources.tables import remove, shared_folder, stage, written
 
 RUN_TS = datetime(2001, 11, 5, 7, 0, 0)
 
@@ -279,12 +279,15 @@ class Workspace:
         return ev.weekly_decumulate(self.manual_predictions())
 
 
-_WORKSPACES: dict[tuple[str, str, bool], Workspace] = {}
+_WORKSPACES: dict[tuple, Workspace] = {}
 
 
 def workspace(spark: SparkSession, sf_dir: str, *, fine: bool = False) -> Workspace:
-    """The workspace of this application and folder; stage tables are shared by its queries."""
-    key = (spark.sparkContext.applicationId, sf_dir, fine)
+    """The workspace of this application and folder; stage tables are shared by its queries.
+
+    Tables that were written anew in the meantime get a new one.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, fine, written(spark, sf_dir))
     if key not in _WORKSPACES:
         _WORKSPACES[key] = Workspace(spark, sf_dir, fine=fine)
     return _WORKSPACES[key]

@@ -100,6 +100,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
 
 
+def written(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, time of writing and length of what lies in ``folder``."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    entries = path.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((e.getPath().getName(), e.getModificationTime(), e.getLen()) for e in entries))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clearshelf.operators import evaluation as ev
 from clearshelf.operators import scans as sc
 from clearshelf.operators import training as tr
-from clearshelf.plans.workspace import Workspace
+from clearshelf.plans.workspace import Workspace, workspace
 from clearshelf.sources import tables as tb
 
 NAMES = ("club_nbr", "week", "stock")
@@ -62,6 +62,15 @@ def test_workspace_leaves_nothing_behind(spark, sf_dir, tmp_path):
     assert os.listdir(tmp_path) == []
 
 
+def test_rewritten_tables_get_a_new_workspace(spark, tmp_path):
+    folder = tmp_path / "in"
+    spark.range(3).write.parquet(str(folder / "part.parquet"))
+    first = workspace(spark, str(folder))
+    assert workspace(spark, str(folder)) is first
+    os.utime(folder / "part.parquet", (1, 1))
+    assert workspace(spark, str(folder)) is not first
+
+
 def test_a_cluster_without_a_shared_folder_is_an_error():
     class Context:
         master = "yarn"
