@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clearshelf.operators.first_level import units_week_back
 from clearshelf.params import BACK_WEEKS
+from clearshelf.sources.tables import replace_partitions
 
 CHANNELS = ("app", "web")
 FULFILMENTS = ("delivery", "pickup", "shipping")
@@ -57,6 +58,62 @@ def cart_members_week_back(events: DataFrame, *, as_of: date) -> DataFrame:
     )
 
 
+_CELL = ("item_nbr", "channel", "fulfilment")
+
+
+def member_days(events: DataFrame) -> DataFrame:
+    """Members of each item, channel, fulfilment and day as bitmaps, one row per 32,768 member numbers.
+
+    Members must be whole numbers from 0, as dense as can be; null members are none. A popular item
+    spreads over its numbers, and tasks build their part of a bitmap before the shuffle.
+    """
+    known = events.where(F.col("item_nbr").isNotNull() & F.col("member_id").isNotNull())
+    return (
+        known.groupBy(*_CELL, F.bitmap_bucket_number("member_id").alias("member_block"), "date")
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("member_id")).alias("members"))
+        .select(*_CELL, "member_block", "members", "date")
+    )
+
+
+def store_member_days(events: DataFrame, path: str, *, first: date, last: date) -> None:
+    """Store the bitmaps of the days ``first`` to ``last``; a night stores one day, again if repeated.
+
+    Days in the range without events keep what was stored. Other days are neither read nor written.
+    """
+    days = events.where(F.col("date").between(F.lit(first), F.lit(last)))
+    replace_partitions(member_days(days), path, by=["date"])
+
+
+def cart_members_stored(days: DataFrame, *, as_of: date) -> DataFrame:
+    """``cart_members_week_back`` from the stored days of ``member_days``: a week is the union of its bitmaps.
+
+    Equal to the count from events but for items whose events all lack a member, which have no row.
+    """
+    weeks = (
+        _recent(days, as_of)
+        .groupBy(*_CELL, "weeks_back", "member_block")
+        .agg(F.bitmap_count(F.bitmap_or_agg("members")).alias("n"))
+    )
+    return weeks.groupBy("item_nbr").agg(
+        *[
+            F.coalesce(
+                F.sum(
+                    F.when(
+                        (F.col("channel") == channel)
+                        & (F.col("fulfilment") == fulfilment)
+                        & (F.col("weeks_back") == k),
+                        F.col("n"),
+                    )
+                ),
+                F.lit(0),
+            ).alias(f"{channel}_{fulfilment}_add2cart_member_{k}_week_back_cnt")
+            for channel in CHANNELS
+            for fulfilment in FULFILMENTS
+            for k in range(1, BACK_WEEKS + 1)
+        ]
+    )
+
+
 def online_units_week_back(sales: DataFrame) -> DataFrame:
     """Units per online item (no club) in each trailing week.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearshelf.functions.ordered import in_order
@@ -113,3 +113,45 @@ def disagg_final(
             reached, F.try_divide(F.col("weights"), F.col("total_scenario_weights"))
         ).otherwise(0.0),
     )
+
+
+def disagg_lookup(
+    requests: DataFrame, weights: DataFrame, *, caps: DataFrame | None = None
+) -> DataFrame:
+    """Whole units of each live child for each request (parent, club, whole ``quantity``).
+
+    A child is live while the quantity is below its cap, which are the reached children of the
+    scenario that holds the quantity (and all children below the first scenario); so one row per
+    child is enough and no table of children x scenarios is made. The weight that is live comes from
+    the running weights of the caps, where requests and caps are put in one order per group. Units
+    are shares rounded down, and what is left goes to the largest remainders, equal ones by child
+    number; they add up to the request. Repeated requests count once, and a quantity that no cap exceeds has no rows.
+    """
+    caps = ordered_caps(weights) if caps is None else caps
+    points = caps.select(
+        *GROUP, F.col("inv_cap").alias("at"), F.lit(0).alias("asks"), F.col("_running").alias("spent"),
+        F.lit(None).cast("long").alias("quantity"),
+    )
+    asked = requests.select(
+        *GROUP, F.col("quantity").cast("double").alias("at"), F.lit(1).alias("asks"),
+        F.lit(None).cast("decimal(38,18)").alias("spent"), F.col("quantity").cast("long").alias("quantity"),
+    ).where(F.col("quantity") >= 0).distinct()
+    inside = Window.partitionBy(*GROUP).orderBy("at", "asks")
+    before = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spent = F.coalesce(F.last("spent", ignorenulls=True).over(before), F.lit(0).cast("decimal(38,18)"))
+    met = points.unionByName(asked).withColumns(
+        {"spent": spent, "whole": F.max("spent").over(Window.partitionBy(*GROUP))}
+    )
+    live = met.where("asks = 1").select(
+        *GROUP, "quantity", (F.col("whole") - F.col("spent")).cast("double").alias("live_weight")
+    )
+    children = weights.select(*GROUP, "child_item_nbr", "weights", "inv_cap")
+    joined = children.join(live, list(GROUP)).where(F.col("inv_cap") > F.col("quantity"))
+    share = F.col("quantity") * F.col("weights") / F.col("live_weight")
+    parts = joined.withColumn("share", share).withColumn("floor", F.floor(F.col("share") + 1e-9))
+    rest = F.floor((F.col("share") - F.col("floor")) * 1e6 + 0.5)
+    request = Window.partitionBy(*GROUP, "quantity")
+    over = F.col("quantity") - F.sum("floor").over(request)
+    place = F.row_number().over(request.orderBy(rest.desc(), "child_item_nbr"))
+    units = F.col("floor") + F.when(place <= over, 1).otherwise(0)
+    return parts.select(*GROUP, "quantity", "child_item_nbr", units.cast("long").alias("units"))

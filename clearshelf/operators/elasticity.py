@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clearshelf.functions.metrics import bias, smape, wmape
 from clearshelf.functions.numeric import half_up, ratio
 from clearshelf.functions.ordered import quantiles
+from clearshelf.operators.scoring import isotonic_fit, monotone_envelope
 from clearshelf.operators.second_level import DISCOUNTS, MEDIAN_PRICE
 from clearshelf.params import DISCOUNT_GRID
 
@@ -159,6 +160,25 @@ def elasticity_check(pred: DataFrame, **options) -> DataFrame:
     )
 
 
+def response_curve(
+    samples: DataFrame, *, by: Sequence[str], discount: Column, units: Column, steps: int = 10
+) -> DataFrame:
+    """Observed mean units at each discount step, and two never-falling curves through them.
+
+    ``envelope_units`` is the running maximum, which only raises; ``isotonic_units`` is the nearest
+    curve in squares weighted by samples, which keeps the total. A negative discount counts as none.
+    """
+    step = F.floor(F.greatest(discount, F.lit(0.0)) * steps + 1e-9).cast("int")
+    means = samples.groupBy(*by, step.alias("discount_step")).agg(
+        F.count("*").alias("n_samples"), F.avg(units.cast("double")).alias("mean_units")
+    )
+    raised = monotone_envelope(means, by=by, order_by="discount_step", value="mean_units")
+    fitted = isotonic_fit(
+        raised, by=by, order_by="discount_step", value="mean_units", weight="n_samples", out="isotonic_units"
+    )
+    return fitted.withColumnRenamed("monotone_mean_units", "envelope_units")
+
+
 def recovery_rate(
     pred: DataFrame, *, price: Column, cost: Column, liquidation: Column, sold: str
 ) -> DataFrame:

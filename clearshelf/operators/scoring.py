@@ -62,6 +62,63 @@ def monotone_envelope(
     return grid_pred.withColumn(f"monotone_{value}", F.max(value).over(rising))
 
 
+def isotonic_fit(
+    curves: DataFrame,
+    *,
+    by: Sequence[str],
+    order_by: str,
+    value: str,
+    weight: str | None = None,
+    out: str | None = None,
+) -> DataFrame:
+    """The never-falling curve nearest to ``value`` in weighted squares, as column ``out``.
+
+    Neighbours that fall are pooled to their weighted mean, so unlike the running maximum the total
+    of a curve stays as it is. A curve's points, those of a discount grid or of the weeks, meet in
+    one array. Points with a null value or a weight of zero or null take no part and get null. Points of
+    equal ``order_by`` go by their value.
+    """
+    share = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    x = F.when(F.col(value).isNotNull() & (share > 0), F.col(value).cast("double"))
+    point = F.struct(
+        F.col(order_by).alias("o"), x.alias("x"), share.alias("w"), F.struct(*curves.columns).alias("row")
+    )
+    listed = curves.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.collect_list(point).alias("_all"))
+    pooled = listed.select(
+        F.expr("filter(_all, p -> p.x IS NULL)").alias("_none"),
+        F.expr(
+            "array_sort(filter(_all, p -> p.x IS NOT NULL), (a, b) -> CASE "
+            "WHEN a.o < b.o OR (a.o IS NULL AND b.o IS NOT NULL) THEN -1 "
+            "WHEN a.o > b.o OR (b.o IS NULL AND a.o IS NOT NULL) THEN 1 "
+            "WHEN a.x < b.x THEN -1 WHEN a.x > b.x THEN 1 ELSE 0 END)"
+        ).alias("_points"),
+    ).withColumn("_pools", F.expr(_POOLS))
+    fits = "flatten(transform(_pools, b -> array_repeat(b.s / b.w, b.n)))"
+    fitted = pooled.select(
+        F.explode(
+            F.concat(
+                F.expr(f"zip_with(_points, {fits}, (p, y) -> struct(p.row AS row, y AS y))"),
+                F.expr("transform(_none, p -> struct(p.row AS row, CAST(NULL AS DOUBLE) AS y))"),
+            )
+        ).alias("_p")
+    )
+    return fitted.select("_p.row.*", F.col("_p.y").alias(out or f"isotonic_{value}"))
+
+
+#: Left to right; a new point takes in the pools before it as long as their mean is not below its own.
+_POOLS = """
+aggregate(_points, CAST(array() AS ARRAY<STRUCT<s: DOUBLE, w: DOUBLE, n: INT>>), (pools, p) ->
+  aggregate(
+    reverse(pools),
+    CAST(struct(p.x * p.w AS s, p.w AS w, 1 AS n, array() AS kept)
+      AS STRUCT<s: DOUBLE, w: DOUBLE, n: INT, kept: ARRAY<STRUCT<s: DOUBLE, w: DOUBLE, n: INT>>>),
+    (last, b) -> CASE
+      WHEN size(last.kept) = 0 AND b.s / b.w >= last.s / last.w
+      THEN struct(last.s + b.s AS s, last.w + b.w AS w, last.n + b.n AS n, last.kept AS kept)
+      ELSE struct(last.s AS s, last.w AS w, last.n AS n, array_append(last.kept, b) AS kept) END,
+    last -> array_append(reverse(last.kept), struct(last.s AS s, last.w AS w, last.n AS n))))"""
+
+
 def bucket_caps(samples: DataFrame, *, bucket: str, weekly_units: Column) -> DataFrame:
     """80th percentile of weekly units in each bucket."""
     return quantiles(samples, [bucket], weekly_units, [0.8]).withColumnRenamed("q0", "quantile80")

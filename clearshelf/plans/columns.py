@@ -255,6 +255,7 @@ COLUMNS: dict[str, list[str]] = {
         *DISAGG, "inv_min", "inv_max", "scenario:i", "scenario_flag:i", "total_scenario_weights",
         "final_weights",
     ],
+    "disagg_lookup": ["parent_item_nbr:i", "club_nbr:i", "quantity:l", "child_item_nbr:i", "units:l"],
     "dq_not_null": DQ,
     "dq_type": DQ,
     "dq_report": ["utc_time:s", *DQ],
@@ -303,6 +304,11 @@ COLUMNS: dict[str, list[str]] = {
     "first_session_week": ["club_nbr:i", "mds_fam_id:i", "n_md:i", "selling_price", "date:t"],
     "combine_metrics": ["metric:s", "value"],
     "error_quantiles": ["kind:s", "category:i", "x", "y"],
+    "error_density": ["x", "density"],
+    "joint_density": ["actual", "predicted", "n_rows"],
+    "response_curve": [
+        "mds_fam_id:i", "discount_step:i", "n_samples:l", "mean_units", "envelope_units", "isotonic_units",
+    ],
     "discount_grid": [*GRID_ROW, "inventory_qty", *DISCOUNTS],
     "grid_score": [*GRID_ROW, "predicted_sale", "cap_predicted_sale"],
     "sale_lift": [*GRID_ROW, "predicted_sale", "sale_lift", "max_sale_lift"],
@@ -326,5 +332,6 @@ COLUMNS: dict[str, list[str]] = {
     ],
     "cart_ratios": ["item_nbr:i", "app_clicks:l", "web_clicks:l", "app_share"],
 }
+COLUMNS["cart_members_stored"] = COLUMNS["cart_members_week_back"]
 for _name in ("first_level_features", "second_level_features", "eval_manual"):
     COLUMNS[f"{_name}_fine"] = COLUMNS[_name]

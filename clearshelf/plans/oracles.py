@@ -573,6 +573,24 @@ SELECT f.*, total_scenario_weights,
        CASE WHEN scenario_flag = 0 THEN weights / total_scenario_weights ELSE 0 END AS final_weights
 FROM disagg_flags f JOIN scenario_totals USING (parent_item_nbr, club_nbr, scenario)"""
 
+CTE["requests"] = """
+SELECT DISTINCT parent_item_nbr, club_nbr, floor(inventory::DOUBLE / part)::BIGINT AS quantity
+FROM disagg_raw_weights, (SELECT unnest([10, 2, 1]) AS part)"""
+CTE["live_children"] = """
+SELECT parent_item_nbr, club_nbr, quantity, child_item_nbr,
+       quantity * weights / sum(weights) OVER (PARTITION BY parent_item_nbr, club_nbr, quantity) AS share
+FROM disagg_raw_weights JOIN requests USING (parent_item_nbr, club_nbr) WHERE inv_cap > quantity"""
+CTE["rounded_children"] = """
+SELECT *, floor(share + 1e-9::DOUBLE) AS whole, floor((share - floor(share + 1e-9::DOUBLE)) * 1e6::DOUBLE + 0.5::DOUBLE) AS rest
+FROM live_children"""
+CTE["disagg_lookup"] = """
+SELECT parent_item_nbr, club_nbr, quantity, child_item_nbr,
+       (whole + CASE WHEN row_number() OVER (PARTITION BY parent_item_nbr, club_nbr, quantity
+                       ORDER BY rest DESC, child_item_nbr)
+                     <= quantity - sum(whole) OVER (PARTITION BY parent_item_nbr, club_nbr, quantity)
+                     THEN 1 ELSE 0 END)::BIGINT AS units
+FROM rounded_children"""
+
 # --- data quality ---------------------------------------------------------------------------
 
 
@@ -811,6 +829,42 @@ FROM (SELECT category, x, cume_dist() OVER (PARTITION BY category ORDER BY x) AS
 UNION ALL
 SELECT 'unit_error', -1, -50 + (bin - 1) * 5, count(*) FROM unit_errors GROUP BY bin"""
 
+CTE["known_errors"] = "SELECT predicted_sales - target AS e FROM manual_pred WHERE predicted_sales - target IS NOT NULL"
+CTE["error_spread"] = """
+SELECT count(*) AS n, stddev_samp(e) AS sd,
+       (quantile_cont(e, 0.75) - quantile_cont(e, 0.25)) / 1.34::DOUBLE AS apart FROM known_errors"""
+CTE["error_width"] = """
+SELECT n, 0.9::DOUBLE * n ** -0.2::DOUBLE * CASE WHEN sd > 0 AND apart > 0 THEN least(sd, apart)
+       WHEN apart > 0 THEN apart WHEN sd > 0 THEN sd ELSE 1 END AS h FROM error_spread"""
+CTE["error_bins"] = """
+SELECT i, sum(w) AS w FROM (
+  SELECT floor((e + 50) * 2) AS i, 1 - ((e + 50) * 2 - floor((e + 50) * 2)) AS w FROM known_errors
+  UNION ALL
+  SELECT floor((e + 50) * 2) + 1, (e + 50) * 2 - floor((e + 50) * 2) FROM known_errors)
+GROUP BY i"""
+CTE["error_density"] = """
+SELECT -50 + g.range * 0.5::DOUBLE AS x,
+       sum(w * exp(-0.5::DOUBLE * ((i - g.range) * 0.5::DOUBLE / h) ** 2)) / any_value(n * h * sqrt(2 * pi())) AS density
+FROM range(0, 201) g, error_bins, error_width
+WHERE abs(i - g.range) <= ceil(8 * h / 0.5::DOUBLE) GROUP BY g.range"""
+CTE["known_pairs"] = "SELECT target AS t, predicted_sales AS f FROM manual_pred WHERE predicted_sales - target IS NOT NULL"
+CTE["pair_widths"] = """
+SELECT stddev_samp(t) * count(*) ** (-1::DOUBLE / 6) / 2 AS ht, stddev_samp(f) * count(*) ** (-1::DOUBLE / 6) / 2 AS hf
+FROM known_pairs"""
+CTE["pair_bins"] = """
+SELECT a, b, sum(w) AS w FROM (
+  SELECT floor(t / 2) + x.range AS a, floor(f / 2) + y.range AS b,
+         (CASE x.range WHEN 0 THEN 1 - (t / 2 - floor(t / 2)) ELSE t / 2 - floor(t / 2) END)
+         * (CASE y.range WHEN 0 THEN 1 - (f / 2 - floor(f / 2)) ELSE f / 2 - floor(f / 2) END) AS w
+  FROM known_pairs, range(0, 2) x, range(0, 2) y)
+GROUP BY a, b"""
+CTE["joint_density"] = """
+SELECT x.range * 2::DOUBLE AS actual, y.range * 2::DOUBLE AS predicted,
+       sum(w * exp(-0.5::DOUBLE * ((a - x.range) / ht) ** 2) * exp(-0.5::DOUBLE * ((b - y.range) / hf) ** 2))
+       / any_value(ht * hf * 2 * pi()) AS n_rows
+FROM range(0, 51) x, range(0, 51) y, pair_bins, pair_widths
+WHERE abs(a - x.range) <= ceil(8 * ht) AND abs(b - y.range) <= ceil(8 * hf) GROUP BY ALL"""
+
 # --- elasticity -----------------------------------------------------------------------------
 
 
@@ -848,6 +902,26 @@ CTE["monotone_envelope"] = f"""
 SELECT *, max(predicted_sale) OVER (PARTITION BY {_KEYS} ORDER BY discount
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS monotone_predicted_sale
 FROM grid_score"""
+CTE["observed"] = f"""
+SELECT mds_fam_id, floor(greatest({DISCOUNTS[0]}, 0::DOUBLE) * 10 + 1e-9::DOUBLE)::INTEGER AS discount_step,
+       count(*) AS n_samples, avg(target / num_weeks) AS mean_units
+FROM eval_manual GROUP BY ALL"""
+CTE["pooled_means"] = """
+SELECT a.mds_fam_id, a.discount_step AS low, b.discount_step AS high,
+       sum(c.mean_units * c.n_samples) / sum(c.n_samples) AS pooled
+FROM observed a JOIN observed b ON a.mds_fam_id = b.mds_fam_id AND a.discount_step <= b.discount_step
+JOIN observed c ON a.mds_fam_id = c.mds_fam_id AND c.discount_step BETWEEN a.discount_step AND b.discount_step
+GROUP BY ALL"""
+CTE["least_above"] = """
+SELECT p.mds_fam_id, p.discount_step, low, min(pooled) AS least
+FROM observed p JOIN pooled_means m
+  ON p.mds_fam_id = m.mds_fam_id AND p.discount_step BETWEEN low AND high
+GROUP BY ALL"""
+CTE["response_curve"] = """
+SELECT o.*, max(mean_units) OVER (PARTITION BY mds_fam_id ORDER BY discount_step
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS envelope_units, isotonic_units
+FROM observed o JOIN (SELECT mds_fam_id, discount_step, max(least) AS isotonic_units
+                      FROM least_above GROUP BY ALL) USING (mds_fam_id, discount_step)"""
 CTE["scored_one_week"] = "SELECT * FROM (" + _scored("eval_manual") + ") WHERE num_weeks = 1"
 _EL = _accuracy("target", "cap_predicted_sale")
 CTE["elasticity_metrics"] = f"""
@@ -917,6 +991,7 @@ CTE["cart_clicks_week_back"] = f"""
 SELECT item_nbr, {_cells("click", "count(*)")} FROM recent_cart GROUP BY item_nbr"""
 CTE["cart_members_week_back"] = f"""
 SELECT item_nbr, {_cells("member", "count(DISTINCT member_id)")} FROM recent_cart GROUP BY item_nbr"""
+CTE["cart_members_stored"] = "SELECT * FROM cart_members_week_back"
 CTE["online_daily"] = """
 SELECT mds_fam_id, department_nbr AS category_nbr, subclass_nbr AS sub_category_nbr, date,
        sum(unit_sold_cnt) AS units, date_diff('day', DATE '1970-01-01', date) AS day_number

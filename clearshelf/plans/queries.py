@@ -553,6 +553,17 @@ def disagg_final(ws):
     return dg.disagg_final(ws.disagg_weights, disagg_scenarios(ws), caps=ws.disagg_caps)
 
 
+@query
+def disagg_lookup(ws):
+    """A tenth, a half and all of each parent's stock, in whole units of its children."""
+    parts = F.explode(F.array(*[F.lit(p) for p in (10, 2, 1)])).alias("part")
+    groups = ws.disagg_weights.select(*dg.GROUP, "inventory").distinct()
+    requests = groups.select(*dg.GROUP, "inventory", parts).select(
+        *dg.GROUP, F.floor(F.col("inventory") / F.col("part")).alias("quantity")
+    )
+    return dg.disagg_lookup(requests, ws.disagg_weights, caps=ws.disagg_caps)
+
+
 # --- data quality ---------------------------------------------------------------------------
 
 
@@ -929,6 +940,16 @@ def error_quantiles(ws):
     return ev.error_quantiles(ws.manual_predictions())
 
 
+@query
+def error_density(ws):
+    return ev.error_density(ws.manual_predictions())
+
+
+@query
+def joint_density(ws):
+    return ev.joint_density(ws.manual_predictions())
+
+
 # --- elasticity -----------------------------------------------------------------------------
 
 
@@ -968,6 +989,14 @@ def elasticity_check(ws):
     return el.elasticity_check(_grid(ws, GRID_WITH_DEEP), value="cap_predicted_sale")
 
 
+@query
+def response_curve(ws):
+    weekly = F.col("target") / F.col("num_weeks")
+    return el.response_curve(
+        ws.manual_eval, by=["mds_fam_id"], discount=F.col(sl.DISCOUNTS[0]), units=weekly
+    )
+
+
 def _recovery(ws: Workspace) -> DataFrame:
     median = F.col(sl.MEDIAN_PRICE)
     return el.recovery_rate(
@@ -1002,6 +1031,16 @@ def cart_members_week_back(ws):
     return cart.cart_members_week_back(ws.tables.cart_event(), as_of=CART_AS_OF)
 
 
+@query
+def cart_members_stored(ws):
+    """Four weeks from stored days: all but the last at once, then the last night, run twice."""
+    events, path, day = ws.tables.cart_event(), ws.path("member_days"), timedelta(days=1)
+    cart.store_member_days(events, path, first=CART_AS_OF - 28 * day, last=CART_AS_OF - 2 * day)
+    for _ in range(2):
+        cart.store_member_days(events, path, first=CART_AS_OF - day, last=CART_AS_OF - day)
+    return cart.cart_members_stored(ws.spark.read.parquet(path), as_of=CART_AS_OF)
+
+
 @query
 def online_units_week_back(ws):
     sales = ws.daily_catalog().withColumnsRenamed(
