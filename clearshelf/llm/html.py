@@ -29,8 +29,8 @@ CLOSED_BY_SAME = {
 }
 # Elements, roles and name parts that never hold the article.
 DROPPED_TAGS = frozenset(
-    "nav header footer aside form script style noscript template iframe object embed svg canvas "
-    "button select textarea input label fieldset dialog menu head title audio video map".split()
+    "nav header footer aside script style noscript template iframe object embed svg canvas "
+    "button select textarea input dialog menu head title audio video map".split()
 )
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar "
@@ -46,6 +46,12 @@ DROPPED_NAMES = frozenset(
     "search".split()
 )
 KEPT_TAGS = frozenset("html body article main".split())
+# Elements that go as a rule, but may stand around the whole page.
+WRAPPER_TAGS = frozenset("form fieldset label".split())
+# First parts of the names of reader comments.
+COMMENT_NAMES = frozenset(
+    "comment comments commentlist respond reply replies disqus discussion discussions".split()
+)
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -115,7 +121,12 @@ class _Tree(HTMLParser):
 
 
 def _dropped(node: Node) -> bool:
-    if node.tag in DROPPED_TAGS:
+    return node.tag in DROPPED_TAGS
+
+
+def _set_apart(node: Node) -> bool:
+    """Is a form or the like, hidden, or of a role of boilerplate?"""
+    if node.tag in WRAPPER_TAGS:
         return True
     attrs = node.attrs
     if not attrs or node.tag in KEPT_TAGS:
@@ -160,15 +171,69 @@ def _prune(root: Node, dropped) -> None:
         open_ += (c for c in node.children if not isinstance(c, str))
 
 
+def _has_comments(node: Node) -> bool:
+    """Has a name that begins with comments, as ``comment-body``? ``has-comments`` is none."""
+    if node.tag in ("html", "body", "main"):
+        return False
+    tokens = f"{node.attrs.get('class') or ''} {node.attrs.get('id') or ''}".split()
+    parts = (_NAME.findall(_CAMEL.sub(" ", t).lower()) for t in tokens)
+    return any(p and p[0] in COMMENT_NAMES for p in parts)
+
+
+#: Paragraphs that show a form or hidden element to be a wrapper of the page's text.
+_WRAPPED = 3
+
+
+def _prune_set_apart(root: Node) -> None:
+    """Drop forms, hidden elements and those of a role of boilerplate, but none around the page's text.
+
+    Such an element stays if it has more than half of the points, is no part of the page beside an
+    article or main element with points, and holds one itself or three paragraphs with points. In a
+    wrapper that stays the same is asked of those inside it.
+    """
+    nodes = _upwards(root)
+    if not any(_set_apart(n) for n in nodes):
+        return
+    _measure(nodes)
+    _score(nodes, [])
+    paragraphs: dict[int, int] = {}
+    holders: dict[int, int] = {}
+    around: dict[int, int] = {}  # article and main elements above, of which the element is a part
+    for n in nodes:
+        n.score = 0.0
+        inner = [c for c in n.children if not isinstance(c, str)]
+        paragraphs[id(n)] = (n.tag == "p" and n.points > 0) + sum(paragraphs[id(c)] for c in inner)
+        own = (_is_main(n) or _is_article(n)) and n.points > 0
+        holders[id(n)] = own + sum(holders[id(c)] for c in inner)
+    for n in reversed(nodes):
+        above = n.parent
+        around[id(n)] = 0 if above is None else around[id(above)] + (
+            (_is_main(above) or _is_article(above)) and above.points > 0
+        )
+
+    def dropped(node: Node) -> bool:
+        if not _set_apart(node):
+            return False
+        inside = holders[id(node)]
+        beside = holders[id(root)] - inside - around[id(node)]
+        wraps = inside > 0 or paragraphs[id(node)] >= _WRAPPED
+        return beside > 0 or not wraps or 2 * node.points <= root.points
+
+    _prune(root, dropped)
+
+
 def _prune_named(root: Node) -> None:
     """Drop elements with a name of boilerplate, but none around the page's text.
 
+    Comments go whenever an article or main element with points of its own stands before or around
+    them, whatever their own points.
+
     An element stays that holds a main element, or an article with more points than any article
     outside. On a page without articles or the like outside it, so does one with most of the
     points; if its name is of boilerplate alone, only if all points are in it.
     """
     nodes = _upwards(root)
-    if not any(_named(n) for n in nodes):
+    if not any(_named(n) or _has_comments(n) for n in nodes):
         return
     _measure(nodes)
     _score(nodes, [])
@@ -181,11 +246,24 @@ def _prune_named(root: Node) -> None:
     mains = [place[id(n)] for n in nodes if _is_main(n)]
     holders = [(place[id(n)], n) for n in nodes if _is_main(n) or _is_article(n)]
 
+    def follows(start: int, end: int, node: Node) -> bool:
+        for i, holder in holders:
+            if i < start and holder.points > 0 and not _has_comments(holder):
+                return True
+            if i > end and i - below[id(holder)] < start and holder.points - node.points > 1e-9:
+                return True
+        return False
+
     def dropped(node: Node) -> bool:
-        if not _named(node):
+        comments = _has_comments(node)
+        if not comments and not _named(node):
             return False
         end = place[id(node)]
         start = end - below[id(node)] + 1
+        if comments and follows(start, end, node):
+            return True
+        if not _named(node):
+            return False
         if any(start <= i <= end for i in mains):
             return False
         inside = outside = 0.0
@@ -324,7 +402,8 @@ def _container(node: Node) -> Node | None:
 def main_text(html: str) -> str:
     """The main text of a page, one line per block; empty if there is none.
 
-    Boilerplate elements go first. Paragraphs pass points for length and commas to their ancestors,
+    Boilerplate elements go first, forms and hidden elements only where they are no wrapper of the
+    page's text, comments wherever an article comes before them. Paragraphs pass points for length and commas to their ancestors,
     whose score is discounted by the share of their text that is in links. The best container is
     widened to the article around it, or else, if it holds under four fifths of all points, to the
     element that does, which is kept but for parts mostly in links. Otherwise it is kept whole, with those siblings that score a fifth of it
@@ -338,6 +417,7 @@ def main_text(html: str) -> str:
     tree.feed(html)
     tree.close()
     _prune(tree.root, _dropped)
+    _prune_set_apart(tree.root)
     _prune_named(tree.root)
     nodes = _upwards(tree.root)
     _measure(nodes)

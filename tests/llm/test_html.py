@@ -135,3 +135,50 @@ def test_comments_and_teasers_that_are_articles_go():
     inside = ARTICLE.replace("</article>", f"<div id=comments>{comment}</div></article>")
     assert main_text(page(f"<div class=has-sidebar>{inside}</div>")) == TEXT
     assert main_text(page("<div class=ad>Buy, buy</div><div><p>x</p></div>")) == "x"
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["form", "fieldset", "label", 'div aria-hidden="true"', 'div style="display:none"', 'form role="form"']
+)
+def test_a_form_or_hidden_wrapper_keeps_the_text_of_the_page(wrapper):
+    tag = wrapper.split()[0]
+    inside = f"<div>{f'<p>{PARA}</p>' * 5}<input name=a><button>Go</button><select><option>x</select></div>"
+    menu = "<nav><a href=/>Home</a></nav>"
+    assert main_text(page(f"{menu}<{wrapper}>{inside}</{tag}>")) == "\n".join([PARA] * 5)
+    assert main_text(page(f"<form id=f><{wrapper}>{inside}</{tag}></form>")) == "\n".join([PARA] * 5)
+    assert main_text(page(f"<{wrapper}>{menu}{ARTICLE}</{tag}>")) == TEXT
+
+
+@pytest.mark.parametrize("wrapper", ["form", "fieldset", "div hidden", 'div aria-hidden="true"'])
+def test_a_long_form_or_hidden_part_beside_the_article_goes(wrapper):
+    tag = wrapper.split()[0]
+    long = f"<{wrapper}>{f'<p>{PARA} {OTHER}</p>' * 9}</{tag}>"
+    assert main_text(page(ARTICLE + long)) == TEXT
+    assert main_text(page(long + ARTICLE)) == TEXT
+    assert main_text(page(f"<main>{ARTICLE}</main>{long}")) == TEXT
+    assert main_text(page(f"<div><p>{PARA}</p><p>{OTHER}</p><form><p>Name, please</p></form></div>")) == f"{PARA}\n{OTHER}"
+
+
+COMMENT = f'<article class="comment"><p>{OTHER}</p></article>'
+
+
+@pytest.mark.parametrize(
+    "comments",
+    [
+        f'<div id="comments">{COMMENT * 8}</div>',
+        f'<section class="comment-list">{COMMENT * 8}</section>',
+        COMMENT * 8,
+        f'<div class="discussion">{f"<p>{OTHER}</p>" * 8}</div>',
+        f'<ol class="replies">{f"<li><p>{OTHER}</p></li>" * 8}</ol>',
+    ],
+)
+def test_comments_never_stand_in_for_the_article(comments):
+    post = f'<article class="post has-comments"><p>{PARA}</p></article>'
+    assert main_text(page(post + comments)) == PARA
+    assert main_text(page(f"<main>{post}{comments}</main>")) == PARA
+    assert main_text(page(f'<article class="post"><p>{PARA}</p>{comments}</article>')) == PARA
+    assert main_text(page(f"<form>{post}{comments}</form>")) == PARA
+
+
+def test_a_page_of_comments_alone_keeps_them():
+    assert main_text(page(f'<div class="discussion"><p>{PARA}</p><p>{OTHER}</p></div>')) == f"{PARA}\n{OTHER}"
