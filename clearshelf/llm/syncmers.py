@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from clearshelf.llm.common import as_row
 
 K, S = 5, 2
-#: Anchors in a fingerprint: those of the smallest hashes.
-SKETCH = 64
 _SEPARATOR = r"[\x20\x09-\x0D]+"
 _LOW_BITS = 0xFFFFFFFF
 _QUANTILES, _ROWS_IN_BUCKET, _MOST_BUCKETS = 64, 1000, 65536
@@ -54,32 +52,33 @@ def with_syncmers(df: DataFrame, text: str, out: str) -> DataFrame:
     return some.withColumn(out, fallback).drop(words, pairs)
 
 
-def sketch(anchors: str, size: int = SKETCH) -> Column:
-    """The ``size`` smallest distinct anchor hashes, ascending."""
-    hashes = F.transform(F.col(anchors), lambda a: a["hash"])
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, size)
+def hashes(anchors: str) -> Column:
+    """The hashes of all anchors in the order of their positions, repeats included."""
+    return F.transform(F.col(anchors), lambda a: a["hash"])
 
 
 def as_text(values: Column) -> Column:
-    """A sketch as hexadecimal text, eight digits an anchor; empty of an empty sketch."""
+    """Hashes as hexadecimal text, eight digits an anchor; empty without anchors."""
     return F.array_join(
         F.transform(values, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), ""
     )
 
 
-def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
-    """Estimated share of common anchors: of the smallest hashes of both sketches together, the
-    part that both have. 1 for two empty sketches, 0 if one is empty."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, size)
-    shared = F.size(F.array_intersect(both, F.array_intersect(a, b)))
-    return F.when(F.size(both) == 0, 1.0).otherwise(shared / F.size(both)).cast("double")
+def likeness(a: Column, b: Column) -> Column:
+    """Share of common anchors: of the distinct hashes of both texts together, the part that both
+    have. 1 if neither has any, 0 if one has none."""
+    both = F.size(F.array_union(a, b))
+    shared = F.size(F.array_intersect(a, b))
+    return F.when(both == 0, 1.0).otherwise(shared / both).cast("double")
 
 
 def anchors_table(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id``, ``position``, ``hash``) of every anchor, for matching passages by position."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
     anchored = with_syncmers(rows, "_text", "_anchors")
-    return anchored.select("id", F.inline("_anchors"))
+    # an inner generator puts a filter on its input below the projections, which then finds all
+    # anchors anew inside every step of the lambdas: quadratic in the text
+    return anchored.select("id", F.inline_outer("_anchors")).where(F.col("position").isNotNull())
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
@@ -154,17 +153,18 @@ def with_next(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     )
 
 
-def fingerprints(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SKETCH
-) -> DataFrame:
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint of every text and of its edited text, and how alike they are.
 
     One row per document: ``row`` (all input columns), ``n_chars``, ``edited``, ``fingerprint``,
-    ``edited_fingerprint``, ``near_edited``, ``near_next``. In the edited text the last
-    floor(n_chars/2) code points give way to as many of the next document, by descending id; the
-    first document follows the last. A null text counts as empty. Null ids come last, equal ids in
-    the order of the text's hash; a single document is followed by itself. An empty table gives no
-    rows.
+    ``edited_fingerprint``, ``near_edited``, ``near_next``. A fingerprint has all anchors of a text
+    in the order of their positions, and likeness counts all of both, wherever they stand. In the
+    edited text the last floor(n_chars/2) code points give way to as many of the next document, by
+    descending id; the first document follows the last. A null text counts as empty. Null ids come
+    last, equal ids in the order of the text's hash; a single document is followed by itself. An
+    empty table gives no rows.
+
+    Only texts are shuffled; the anchors of the next text are found again where it meets the other.
     """
     text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
     rows = as_row(docs).select(
@@ -173,23 +173,22 @@ def fingerprints(
         text.alias("_text"),
         F.crc32(text.cast("binary")).alias("_tie"),
     )
-    own = with_syncmers(rows, "_text", "_anchors")
-    own = own.withColumn("_sketch", sketch("_anchors", size)).drop("_anchors")
-    followed = with_next(own, ("_text", "_sketch"))
+    followed = with_next(rows, ("_text",))
     n = F.char_length("_text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left(F.col("_text"), n - half), F.left(F.col("_next._text"), half))
-    changed = followed.withColumns({"_edited": edited, "_n": n.cast("long")})
-    changed = changed.withColumn("_next_sketch", F.col("_next._sketch")).drop("_text", "_next")
-    marked = with_syncmers(changed, "_edited", "_anchors")
-    marked = marked.withColumn("_edited_sketch", sketch("_anchors", size)).drop("_anchors")
-    mine, other = F.col("_sketch"), F.col("_edited_sketch")
+    marked = followed.select(
+        "row", n.cast("long").alias("_n"), "_text", edited.alias("_edited"), F.col("_next._text").alias("_following")
+    )
+    for column, out in (("_text", "_own"), ("_following", "_other"), ("_edited", "_changed")):
+        marked = with_syncmers(marked, column, "_anchors").withColumn(out, hashes("_anchors")).drop("_anchors")
+    mine, changed = F.col("_own"), F.col("_changed")
     return marked.select(
         "row",
         F.col("_n").alias("n_chars"),
         F.col("_edited").alias("edited"),
         as_text(mine).alias("fingerprint"),
-        as_text(other).alias("edited_fingerprint"),
-        likeness(mine, other, size).alias("near_edited"),
-        likeness(mine, F.col("_next_sketch"), size).alias("near_next"),
+        as_text(changed).alias("edited_fingerprint"),
+        likeness(mine, changed).alias("near_edited"),
+        likeness(mine, F.col("_other")).alias("near_next"),
     )

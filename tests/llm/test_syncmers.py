@@ -90,3 +90,30 @@ def test_texts_of_five_and_six_words_have_an_anchor(spark, docs_of):
     rows = {r.row.doc_id: r for r in syncmers.fingerprints(docs_of([*texts.items(), (1, "")])).collect()}
     assert all(rows[i].fingerprint != "" for i in texts) and rows[1].fingerprint == ""
     assert all(rows[i].near_next == 0.0 for i in texts)
+
+
+def test_fingerprint_and_likeness_over_all_anchors_of_long_texts(spark, docs_of):
+    base = words(10_000, 11).split()
+    changed = [*base]
+    for at in (10, 5_000, 9_990):
+        changed[at] = "altered"
+    passage = words(60, 12).split()
+    left, right = words(10_000, 13).split(), words(10_000, 14).split()
+    left[4_000:4_060], right[7_000:7_060] = passage, passage
+    texts = {9: " ".join(base), 8: " ".join(changed), 7: " ".join(left), 6: " ".join(right), 5: "x" * 300_000}
+    docs = docs_of(list(texts.items()))
+    sets, order = {}, {}
+    for r in syncmers.anchors_table(docs).collect():
+        sets.setdefault(r.id, set()).add(r.hash)
+        order.setdefault(r.id, []).append((r.position, r.hash))
+    rows = {r.row.doc_id: r for r in syncmers.fingerprints(docs).collect()}
+    edits = docs_of([(i, rows[i].edited) for i in texts])
+    edited = {}
+    for r in syncmers.anchors_table(edits).collect():
+        edited.setdefault(r.id, set()).add(r.hash)
+    for i, following in ((9, 8), (8, 7), (7, 6), (6, 5), (5, 9)):
+        assert rows[i].near_next == len(sets[i] & sets[following]) / len(sets[i] | sets[following])
+        assert rows[i].near_edited == len(sets[i] & edited[i]) / len(sets[i] | edited[i])
+        assert rows[i].fingerprint == "".join(f"{h:08x}" for _, h in sorted(order[i]))
+    assert rows[9].fingerprint != rows[8].fingerprint and 0.99 < rows[9].near_next < 1
+    assert rows[7].near_next > 0
