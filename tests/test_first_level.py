@@ -145,6 +145,33 @@ def test_half_year_of_odd_panels(spark):
     assert len(found) == 4
 
 
+def test_half_year_streams_small_entities_in_common_batches(spark):
+    rng = random.Random(3)
+    days = [(i, c, D + timedelta(days=rng.randrange(400))) for i in range(150) for c in (1, 2) for _ in range(rng.randrange(1, 5))]
+    rows = [(i, c, d, Decimal(rng.randrange(90)), rng.choice((None, 1.25, 2.5, 7.0))) for i, c, d in days for _ in range(rng.choice((1, 1, 9)))]
+    panel = spark.createDataFrame(rows, SALES).repartition(3)
+    found = {}
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for batch in (3, 10_000):
+            spark.conf.set(key, batch)
+            stats = sl.half_year_stats(panel)
+            found[batch] = sorted(map(repr, stats.collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert found[3] == found[10_000] and len(found[3]) == len(rows)
+    for r in stats.collect():
+        near = [(u, p) for i, c, d, u, p in rows if (i, c) == (r.mds_fam_id, r.club_nbr) and 0 <= (r.date - d).days <= 167]
+        units, prices = sorted(u for u, _ in near), sorted(p for _, p in near if p is not None)
+        assert (r.min_unit_6_month_last_nbr, r.max_unit_6_month_last_nbr) == (units[0], units[-1])
+        assert r.median_unit_6_month_last_nbr == units[(len(units) - 1) // 2]
+        assert r.median_price_6_month_last_amt == (prices[(len(prices) - 1) // 2] if prices else None)
+    plan = sl.half_year_stats(panel)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 BASE = (
     "mds_fam_id int, club_nbr int, department_nbr int, subclass_nbr int, item_nbr int, date date, "
     "unit_sold_cnt decimal(18,2), inventory_qty int"
