@@ -3,11 +3,13 @@
 import random
 from datetime import date, timedelta
 from decimal import Decimal
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
 from clearshelf.operators import first_level as fl
 from clearshelf.operators import second_level as sl
+from clearshelf.session import prefer_small_methods
 
 D = date(2001, 6, 15)
 SALES = "mds_fam_id int, club_nbr int, date date, unit_sold_cnt decimal(18,2), unit_price_amt double"
@@ -213,3 +215,17 @@ def test_without_an_item_map_the_scanned_id_is_the_item(spark):
     row = fl.daily_sales(scan).first()
     assert (row.mds_fam_id, row.unit_sold_cnt, row.sale_amt) == (9, Decimal(3), Decimal(6))
     assert row.unit_price_amt == Decimal(2)
+
+
+class _Conf(dict):
+    def set(self, key, value):
+        self[key] = value
+
+
+def test_methods_stay_small_unless_the_session_has_a_limit(ws):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    bare, own = SimpleNamespace(conf=_Conf()), SimpleNamespace(conf=_Conf({key: "12345"}))
+    prefer_small_methods(bare)
+    prefer_small_methods(own)
+    assert (bare.conf[key], own.conf[key]) == ("8000", "12345")
+    assert ws.spark.conf.get(key) == "8000"
