@@ -8,7 +8,6 @@ whoever shares a posting list has reached the least number of matches.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clearshelf.llm import similar
+from clearshelf.llm import byte_index, similar
+from clearshelf.llm.byte_index import BYTES
 from clearshelf.llm.common import arrow_map, as_row, spaced_words, utf8
 from clearshelf.llm.components import components
 from clearshelf.sources.tables import stage
 
-SHINGLE, SEED, MOST_BITS, BYTES = 3, 42, 2, 8
+SHINGLE, SEED, MOST_BITS = 3, 42, 2
 #: Posting lists up to this length are paired; longer ones are linked over shared neighbours.
 PAIRED = 24
 
@@ -42,11 +42,7 @@ def simhash(words: list[bytes], *, shingle: int = SHINGLE, seed: int = SEED) ->
     starts = np.concatenate(([0], ends[:-shingle])).tolist()
     digest = xxhash.xxh64_intdigest
     hashes = [digest(joined[a:b], seed) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())]
-    counts = np.zeros(64, np.int64)
-    values = np.array(hashes, np.uint64).astype(">u8").view(np.uint8).reshape(-1, 8)
-    for at in range(0, len(values), 1 << 16):
-        counts += np.unpackbits(values[at : at + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+    return byte_index.majority(np.array(hashes, np.uint64))
 
 
 def with_simhash(rows: DataFrame, *, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
@@ -64,20 +60,6 @@ def with_simhash(rows: DataFrame, *, shingle: int = SHINGLE, seed: int = SEED) -
     return arrow_map(rows, marked, schema)
 
 
-def _mask(positions: tuple[int, ...]) -> int:
-    value = sum(0xFF << (8 * p) for p in positions)
-    return value - (1 << 64) if value >> 63 else value
-
-
-def _shared_bytes(a: Column, b: Column) -> Column:
-    """The tally of positional bytes that two fingerprints share."""
-    mixed = a.bitwiseXOR(b)
-    tally = F.lit(0)
-    for p in range(BYTES):
-        tally = tally + F.when(mixed.bitwiseAND(F.lit(_mask((p,)))) == 0, 1).otherwise(0)
-    return tally
-
-
 def links(fingerprints: DataFrame, *, most_bits: int = MOST_BITS) -> DataFrame:
     """Edges (``a``, ``b``) whose components are those of all pairs within two differing bits.
 
@@ -90,14 +72,8 @@ def links(fingerprints: DataFrame, *, most_bits: int = MOST_BITS) -> DataFrame:
     """
     if most_bits != 2:
         raise ValueError("the index is built for two differing bits")
-    combos = list(combinations(range(BYTES), BYTES - most_bits))
-    fp = F.col("fp")
-    postings = F.array(
-        *[
-            F.struct(F.lit(i).cast("byte").alias("c"), fp.bitwiseAND(F.lit(_mask(c))).alias("k"))
-            for i, c in enumerate(combos)
-        ]
-    )
+    least = BYTES - most_bits
+    postings = byte_index.postings(F.col("fp"), least)
     index = fingerprints.select("fp", F.explode(postings).alias("p")).select("fp", "p.c", "p.k")
     lists = index.groupBy("c", "k").agg(F.collect_list("fp").alias("fps"))
     shared = stage(lists.where(F.size("fps") > 1), "postings")
@@ -106,12 +82,10 @@ def links(fingerprints: DataFrame, *, most_bits: int = MOST_BITS) -> DataFrame:
     firsts = short.select("fps", F.posexplode("fps").alias("i", "a"))
     pairs = firsts.select("a", F.explode(F.expr("slice(fps, i + 2, size(fps))")).alias("b"))
     a, b = F.col("a"), F.col("b")
-    close = pairs.where(
-        (_shared_bytes(a, b) >= BYTES - most_bits) & (F.bit_count(a.bitwiseXOR(b)) <= most_bits)
-    )
+    close = pairs.where(byte_index.reached(a, b, least=least, most_bits=most_bits))
 
     flips = []
-    for c in combos:
+    for c in byte_index.choices(least):
         free = [p for p in range(BYTES) if p not in c]
         bits = [1 << (8 * p + bit) for p in free for bit in range(8)]
         flips.append(
@@ -179,9 +153,9 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One document of each group of near copies, that of the smallest id, with the columns of ``docs``.
 
-    Near copies share four fifths of their five-word shingles (``similar``); groups are the
-    components of such pairs. The two bits and three words of ``simhash_components`` do not hold
-    here. Of rows with that id the first in the stored table stays; null ids come last. Columns of
+    Near copies share four fifths of their five-word shingles; groups are the components of such
+    pairs. Candidates come from the byte index of SimHash fingerprints, at more bits than the two of
+    ``simhash_components``, and from MinHash bands for what it does not reach (``similar``). Of rows with that id the first in the stored table stays; null ids come last. Columns of
     any name pass through.
     """
     whole = as_row(docs).select(
@@ -193,7 +167,7 @@ def drop_near_duplicates(
     reps = stage(
         rows.groupBy(F.col("_set").alias("node")).agg(
             F.min("_order").alias("first"), F.any_value("_size").alias("size"),
-            F.any_value("_bands").alias("bands"),
+            F.any_value("_fp").alias("fp"), F.any_value("_bands").alias("bands"),
         ),
         "sets",
     )

@@ -1,7 +1,11 @@
-"""Near copies by exact similarity of five-word shingles, candidates from MinHash bands.
-
-Two texts are near copies if their sets of shingles have a Jaccard similarity of 0.8 or more. Such a
-pair shares none of 32 bands of four minima with a chance of (1 - 0.8^4)^32 = 5e-8 at most. Every
+"""Near copies by exact similarity of five-word shingles, candidates from the SimHash byte index and
+from MinHash bands.
+
+Two texts are near copies if their sets of shingles have a Jaccard similarity of 0.8 or more. The
+index lists the SimHash of each set under three of its eight positional bytes: it reaches all pairs within
+five bits and those up to ``MOST_BITS`` that share three bytes. Near copies may differ in more: at 0.8
+their fingerprints differ in ten bits of 64 on average, and some share no byte at all. The bands reach these; a pair
+at 0.8 shares none of 32 bands of four minima with a chance of (1 - 0.8^4)^32 = 5e-8 at most. Every
 candidate pair is verified on its shingles, is in one component already by verified links, or cannot be
 near copies by its shingles that nobody else has.
 """
@@ -17,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clearshelf.llm import byte_index
 from clearshelf.llm.common import arrow_map, spaced_words, utf8
 from clearshelf.llm.components import components
 from clearshelf.sources.tables import stage
@@ -25,6 +30,8 @@ SHINGLE, SEED = 5, 42
 #: Least similarity, as a fraction: 4 of 5.
 LEAST = (4, 5)
 BANDS, ROWS = 32, 4
+#: Least number of positional bytes and most differing bits of a pair that the byte index gives.
+LEAST_BYTES, MOST_BITS = 3, 12
 #: Lists up to this length give all pairs at once; longer ones a star, then what it leaves open.
 PAIRED = 24
 #: Parts of the shingles for which a set's shared ones are counted.
@@ -72,27 +79,30 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 def with_bands(rows: DataFrame) -> DataFrame:
     """``rows`` (last column ``_text``) with the text replaced by ``_set``, a hash of its set of
-    shingles, ``_size``, their number, and ``_bands``."""
+    shingles, ``_size``, their number, ``_fp``, their SimHash, and ``_bands``."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, sizes, keys = [], [], []
+            sets, sizes, fps, keys = [], [], [], []
             for text in utf8(batch, "_text"):
                 found = shingles(text)
                 sets.append(xxhash.xxh64_intdigest(found.tobytes()))
                 sizes.append(len(found))
+                fps.append(byte_index.majority(found))
                 keys.append(bands(found))
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             added = [pa.array(np.array(sets, np.uint64).view(np.int64), pa.int64()),
                      pa.array(sizes, pa.int64()),
+                     pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64()),
                      pa.array(keys, pa.list_(pa.int64()))]
-            names = [*batch.schema.names[:-1], "_set", "_size", "_bands"]
+            names = [*batch.schema.names[:-1], "_set", "_size", "_fp", "_bands"]
             yield pa.RecordBatch.from_arrays([*kept, *added], names=names)
 
     schema = T.StructType([
         *rows.schema.fields[:-1],
         T.StructField("_set", T.LongType()),
         T.StructField("_size", T.LongType()),
+        T.StructField("_fp", T.LongType()),
         T.StructField("_bands", T.ArrayType(T.LongType())),
     ])
     return arrow_map(rows, marked, schema)
@@ -199,40 +209,54 @@ def _unsettled(members: DataFrame, edges: DataFrame) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _index(reps: DataFrame) -> DataFrame:
+    """(``node``, ``c``, ``k``): the list of every band, then, from ``BANDS`` on, those of the byte index."""
+    bands = reps.select("node", F.posexplode("bands").alias("c", "k"))
+    postings = byte_index.postings(F.col("fp"), LEAST_BYTES, first=BANDS)
+    listed = reps.where("size > 0").select("node", F.explode(postings).alias("p"))
+    return bands.select("node", F.col("c").cast("byte").alias("c"), "k").union(listed.select("node", "p.c", "p.k"))
+
+
 def _lists(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Short lists as (``nodes``), crowded ones as rows (``list``, ``m``).
+    """Pairs (``a``, ``b``) of the short lists that may be alike, and crowded lists as rows (``list``, ``m``).
 
-    Copies share many bands, so lists of equal members count once. A list is counted before its
-    members are gathered: no crowded list becomes one row.
+    Copies share many lists, so lists of equal members count once, as that of a band if there is one.
+    A list is counted before its members are gathered: no crowded list becomes one row. A pair of a
+    posting list must pass the count filter; no pair meets whose sizes alone are too far apart.
     """
-    index = reps.select("node", F.posexplode("bands").alias("c", "k"))
+    index = _index(reps)
+    counted = index.groupBy("c", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    listed = stage(index.join(stage(counted, "lists"), ["c", "k"]).select("c", "k", "node", "n"), "listed")
     mix = F.bit_xor(F.xxhash64("node"))
-    counted = index.groupBy("c", "k").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("least"), mix.alias("mix")
-    )
-    keys = counted.where("n > 1").groupBy("n", "least", "mix").agg(F.min(F.struct("c", "k")).alias("list"))
-    kept = stage(keys.select("list.c", "list.k", "n"), "lists")
-    rows = stage(index.join(kept, ["c", "k"]).select(F.struct("c", "k").alias("list"), "node", "n"), "listed")
-    short = rows.where(F.col("n") <= PAIRED).groupBy("list").agg(F.collect_list("node").alias("nodes"))
-    crowded = rows.where(F.col("n") > PAIRED).select("list", F.col("node").alias("m"))
-    return short.select(F.sort_array("nodes").alias("nodes")), crowded
+    told = listed.groupBy("c", "k", "n").agg(F.min("node").alias("least"), mix.alias("mix"))
+    keys = told.groupBy("n", "least", "mix").agg(F.min(F.struct("c", "k")).alias("list"))
+    rows = stage(listed.join(keys.select("list.c", "list.k"), ["c", "k"]), "told")
+
+    one = F.struct("node", "size", "fp").alias("one")
+    short = rows.where(F.col("n") <= PAIRED).join(reps.select("node", "size", "fp"), "node").select("c", "k", one)
+    lists = short.groupBy("c", "k").agg(F.sort_array(F.collect_list("one")).alias("nodes"))
+    firsts = lists.select("c", "nodes", F.posexplode("nodes").alias("i", "x"))
+    pairs = firsts.select("c", "x", F.explode(F.expr("slice(nodes, i + 2, size(nodes))")).alias("y"))
+    x, y = F.col("x"), F.col("y")
+    close = byte_index.reached(x["fp"], y["fp"], least=LEAST_BYTES, most_bits=MOST_BITS)
+    sizes = LEAST[1] * F.least("x.size", "y.size") >= LEAST[0] * F.greatest("x.size", "y.size")
+    few = pairs.where(sizes & ((F.col("c") < BANDS) | close)).select(x["node"].alias("a"), y["node"].alias("b"))
+    crowded = rows.where(F.col("n") > PAIRED).select(F.struct("c", "k").alias("list"), F.col("node").alias("m"))
+    return few.distinct(), crowded
 
 
 def near_copies(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """(``node``, ``root``) of every set that has a near copy: the components of all near copies.
 
-    ``reps`` is a stored table of distinct sets (``node``, ``first``, ``size``, ``bands``), ``texts`` one
+    ``reps`` is a stored table of distinct sets (``node``, ``first``, ``size``, ``fp``, ``bands``), ``texts`` one
     of texts by their place ``_at``, that of ``first`` included.
 
     In a crowded list every member is verified against the one that has the fewest shingles alone,
-    the nearest to what all share. What remains in other components meets the rest only if sizes and
-    lonely shingles allow.
+    the nearest to what all share. What remains in other components meets the rest of its band lists only
+    if sizes and lonely shingles allow; crowded posting lists leave that to the bands, which list every set.
     """
-    short, crowded = _lists(reps)
-    firsts = short.select("nodes", F.posexplode("nodes").alias("i", "a"))
-    few = stage(
-        firsts.select("a", F.explode(F.expr("slice(nodes, i + 2, size(nodes))")).alias("b")).distinct(), "few"
-    )
+    pairs, crowded = _lists(reps)
+    few = stage(pairs, "few")
     crowd = stage(crowded.select(F.col("m").alias("_node")).distinct(), "crowd")
     nodes = few.select(F.explode(F.array("a", "b")).alias("_node")).union(crowd).distinct()
     sets = stage(_shingle_sets(nodes, reps, texts), "shingle_sets")
@@ -244,7 +268,7 @@ def near_copies(reps: DataFrame, texts: DataFrame) -> DataFrame:
     centres = stage(members.groupBy("list").agg(F.min(F.struct("of.alone", "m"))["m"].alias("a")), "centres")
     star = members.join(centres, "list").where("a <> m").select("a", F.col("m").alias("b"))
     edges = stage(_verified(few.union(star.distinct()), sets), "alike")
-    rest = stage(_unsettled(members, edges), "unsettled")
+    rest = stage(_unsettled(members.where(F.col("list.c") < BANDS), edges), "unsettled")
     if rest.isEmpty():
         return components(edges)
     return components(edges.union(stage(_verified(rest, sets), "alike")))
