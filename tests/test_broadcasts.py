@@ -73,3 +73,15 @@ def test_small_tables_still_go_broadcast_and_settings_come_back(spark, threshold
     spark.conf.set(GUESS, "-1")
     with measured_broadcasts(spark):
         assert spark.conf.get(GUESS) == "-1"
+
+
+def test_every_stage_of_the_fine_second_level_is_written_by_measured_sizes(spark, threshold, folder, tmp_path, monkeypatch):
+    limits = {}
+    monkeypatch.setattr(wk, "stage", lambda df, name, path: limits.update({name: spark.conf.get(GUESS)}) or df)
+    wk.Workspace(spark, folder, fine=True, folder=str(tmp_path / "ws")).second
+    assert limits == dict.fromkeys(
+        ("inventory_daily", "panel", "weekly_summary", "second_level"), str((1 << 20) // 64)
+    )
+    limits.clear()
+    wk.Workspace(spark, folder, folder=str(tmp_path / "ws")).inventory_daily
+    assert limits == {"inventory_daily": "1m"}
