@@ -34,29 +34,19 @@ def folder(spark, sf_dir, tmp_path):
     return str(tmp_path / "in")
 
 
-def _broadcast_rows(spark, ws):
-    """Rows of the largest table that a query broadcast while ``inventory_daily`` was written."""
-    store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
-    ws.inventory_daily
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    most = 0
-    for run in range(before, store.executionsCount()):
-        execution = store.executionsList(run, 1).head()
-        values, nodes = store.executionMetrics(execution.executionId()), store.planGraph(execution.executionId()).allNodes()
-        for node in (nodes.apply(i) for i in range(nodes.size())):
-            if node.name().startswith("BroadcastExchange"):
-                metrics = node.metrics()
-                for metric in (metrics.apply(i) for i in range(metrics.size())):
-                    if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
-                        most = max(most, int(values.apply(metric.accumulatorId()).replace(",", "")))
-    return most
-
-
-def test_a_fine_stage_broadcasts_no_item_table_above_the_threshold(spark, threshold, folder, tmp_path):
-    ws = wk.Workspace(spark, folder, fine=True, folder=str(tmp_path / "ws"))
-    assert 0 < _broadcast_rows(spark, ws) < 120_000
-    assert ws.inventory_daily.count() > 0
+def test_a_fine_stage_broadcasts_no_item_table_above_the_threshold(spark, threshold, folder, tmp_path, monkeypatch):
+    plans = {}
+
+    def run(df, name, path):
+        assert df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return df
+
+    monkeypatch.setattr(wk, "stage", run)
+    wk.Workspace(spark, folder, fine=True, folder=str(tmp_path / "ws")).inventory_daily
+    assert "isFinalPlan=true" in plans["inventory_daily"]
+    joins = [line for line in plans["inventory_daily"].splitlines() if "Join [scan_id" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0]
 
 
 def test_small_tables_still_go_broadcast_and_settings_come_back(spark, threshold, tmp_path):
